@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from parcelight.runtime import Workspace, delete, exists, folder_bytes, rename
 
-#: Bytes that a consolidated file should have.
-TARGET_BYTES = 256 << 20
+#: Bytes that a consolidated file should have; its rows take about ten times as much in the memory of the task that sorts them.
+TARGET_BYTES = 64 << 20
 
 #: ring: x and y of the corners in turn, from the least corner on, without the closing one; shape: whatever of the geometry isn't one plain ring, as JSON.
 FEATURE_SCHEMA = "file_id long, feature_no int, tile_id string, region string, detection_id double, area_m2 double, score double, prompt string, crs string, ring array<double>, shape string"
@@ -112,7 +112,6 @@ def compact(ws: Workspace, files: DataFrame, target: str, target_bytes: int = TA
     spark = ws.spark
     loaded = ws.write(files.select(F.col("file_id").cast("long"), "body").mapInArrow(_parse, FEATURE_SCHEMA), "loaded")
     parts = max(1, math.ceil(folder_bytes(spark, ws.path("loaded")) / target_bytes))
-    # Smaller partitions than files while tasks sort: each file is written by one task, so the number of files is the number of ranges.
     ranged = loaded.withColumn("same", F.xxhash64(*_SAME)).repartitionByRange(parts, "tile_id", "region", "same")
     copies = Window.partitionBy("tile_id", "region", "same", *_SAME[1:]).orderBy("file_id", "feature_no")
     marked = ranged.withColumn("repeated", F.row_number().over(copies) > 1).drop("same")

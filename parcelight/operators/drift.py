@@ -130,29 +130,33 @@ def field_changes(ws: Workspace, exports: DataFrame) -> DataFrame:
 MOST_FIELDS = 5_000
 
 
-def _families(names: dict[str, int], links: list[tuple[str, str, int]]) -> dict[str, str]:
-    """Name -> common name: names that were renamed to each other are one family, called by its most frequent name."""
-    parent = {n: n for n in names}
+def _families(names: dict[str, int], links: dict[tuple[str, str], int], together: dict[tuple[str, str], int]) -> dict[str, str]:
+    """Name -> common name: names that were renamed to each other are one family, called by its most frequent name.
 
-    def root(n: str) -> str:
-        while parent[n] != n:
-            parent[n] = parent[parent[n]]
-            n = parent[n]
-        return n
-
-    for a, b, _ in links:
-        parent[root(a)] = root(b)
-    best: dict[str, str] = {}
-    for n in sorted(names, key=lambda n: (-names[n], n)):
-        best.setdefault(root(n), n)
-    return {n: best[root(n)] for n in names}
+    The most frequent renamings are followed first. One that would put names
+    into one family which stand side by side in more exports than they were
+    renamed in is a coincidence of values and isn't followed.
+    """
+    member = {n: [n] for n in names}
+    both: dict[tuple[str, str], int] = {}
+    for (a, b), n in links.items():
+        both[min(a, b), max(a, b)] = both.get((min(a, b), max(a, b)), 0) + n
+    for (a, b), _ in sorted(both.items(), key=lambda x: (-x[1], x[0])):
+        if member[a] is member[b]:
+            continue
+        cross = [(min(x, y), max(x, y)) for x in member[a] for y in member[b]]
+        if sum(together.get(p, 0) for p in cross) <= sum(both.get(p, 0) for p in cross):
+            merged = member[a] + member[b]
+            for n in merged:
+                member[n] = merged
+    return {n: min(member[n], key=lambda m: (-names[m], m)) for n in names}
 
 
 def unify(ws: Workspace, exports: DataFrame) -> DataFrame:
     """All readable records as one table: the record's own columns, detection_id and one column per field family.
 
-    Names that some series renamed to each other form a family and share the
-    column of its most frequent name. A column is double or boolean if every
+    Names that series renamed to each other form a family and share the column
+    of its most frequent name, unless they often stand side by side. A column is double or boolean if every
     value, taken out of arrays and objects of one, is a number or a boolean;
     else it is text. A record with several members of a family takes the one
     with the most frequent name. A record delivered twice comes out once. A
@@ -167,7 +171,10 @@ def unify(ws: Workspace, exports: DataFrame) -> DataFrame:
     if len(names) > MOST_FIELDS:
         raise ValueError(f"more than {MOST_FIELDS} different fields")
     rank = {r.field: r.n for r in names}
-    family = _families(rank, [(r.old_field, r.new_field, r.n) for r in links.limit(MOST_FIELDS**2).collect()])
+    linked = links.select(F.explode(F.array("old_field", "new_field")).alias("field")).distinct()
+    header = ws.spark.read.parquet(ws.path("headers")).join(linked, "field", "left_semi").select("export_id", "field")
+    pairs = header.join(header.withColumnRenamed("field", "other"), "export_id").filter("field < other").groupBy("field", "other").agg(F.count("*").alias("n"))
+    family = _families(rank, {(r.old_field, r.new_field): r.n for r in links.collect()}, {(r.field, r.other): r.n for r in pairs.collect()})
     kinds = {}
     for name in set(family.values()):
         own = [r for r in names if family[r.field] == name and r.numeric is not None]
