@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelight.llm import cutoff, groups, percentiles
+from parcelight.llm import cutoff, groups, packing, percentiles, tokens
 from parcelight.runtime import Workspace, read_table
 
 
@@ -46,8 +46,18 @@ def p5_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cutoffs(spark, sf_dir)[1].withColumnsRenamed({"source": "prompt", "permille": "target_permille"})
 
 
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    return tokens.token_ids(read_table(spark, sf_dir, "documents"))
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of every document, or of each of its pieces if it exceeds one."""
+    return packing.pack(Workspace(spark, "p8"), tokens.token_counts(read_table(spark, sf_dir, "documents")), "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_percentiles, p1_day_summaries, p4_found, p5_found, p5_cutoffs)}
+    return {f.__name__: f for f in (p1_percentiles, p1_day_summaries, p4_found, p5_found, p5_cutoffs, p7_ids, p8_containers)}
 
 
 _P1_DAYS = """
