@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelight.llm import cutoff, groups, packing, percentiles, tokens
+from parcelight.llm import cutoff, groups, packing, percentiles, tokens, truncated
 from parcelight.runtime import Workspace, read_table
 
 
@@ -56,8 +56,19 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(Workspace(spark, "p8"), tokens.token_counts(read_table(spark, sf_dir, "documents")), "doc_id")
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text was cut off."""
+    return truncated.scored(read_table(spark, sf_dir, "documents")).filter("margin > 0").select("doc_id")
+
+
+def p9_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source's texts are cut off."""
+    cut = F.col("margin") > 0
+    return truncated.scored(read_table(spark, sf_dir, "documents")).groupBy("source").agg(F.count("*").alias("n"), F.count_if(cut).alias("cut"), F.avg(cut.cast("double")).alias("share"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_percentiles, p1_day_summaries, p4_found, p5_found, p5_cutoffs, p7_ids, p8_containers)}
+    return {f.__name__: f for f in (p1_percentiles, p1_day_summaries, p4_found, p5_found, p5_cutoffs, p7_ids, p8_containers, p9_found, p9_sources)}
 
 
 _P1_DAYS = """
