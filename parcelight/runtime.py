@@ -8,7 +8,8 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_ROOT: str | None = None
 _SHIPPED: set[str] = set()
@@ -99,6 +100,15 @@ class Workspace:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def write_counting(self, df: DataFrame, name: str, condition: str) -> tuple[DataFrame, int]:
+        """Writes a table and counts, on the way, the rows that meet a condition.
+
+        A repeated task may count its rows again, so only 0 is an exact number.
+        """
+        seen = Observation()
+        df.observe(seen, F.count_if(F.expr(condition)).alias("n")).write.mode("overwrite").parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name)), seen.get["n"]
+
     def drop(self, *names: str) -> None:
         for name in names:
             delete(self.spark, self.path(name))
