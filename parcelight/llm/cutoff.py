@@ -102,10 +102,11 @@ def cutoffs(ws: Workspace, data: DataFrame, targets: DataFrame) -> DataFrame:
         (k * F.col("high")).alias("loss_h"),
         k.alias("slope_h"),
     )
-    state, turn = ws.write(state, "state-0"), 0
-    while not state.filter("low < high").isEmpty():
+    turn = 0
+    state, open_ = ws.write_counting(state, "state-0", "low < high")
+    while open_:
         turn += 1
-        state = ws.write(_step(state, data), f"state-{turn}")
+        state, open_ = ws.write_counting(_step(state, data), f"state-{turn}", "low < high")
         ws.drop(f"state-{turn - 1}")
     found = state.select("source", "permille", "n", F.col("low").alias("cutoff"))
     reached = data.join(found.select("source", "permille", "cutoff"), "source").filter("score >= cutoff").groupBy("source", "permille").agg(F.count("*").alias("kept"))

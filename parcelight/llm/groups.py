@@ -27,8 +27,8 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def _peel(ws: Workspace, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The component of the vertex of highest degree as (id, parent), and the edges that are left.
+def _peel(ws: Workspace, edges: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """The component of the vertex of highest degree as (id, parent), the edges that are left and their number.
 
     Frontiers are joined with the edges until one is empty. If BFS_ROUNDS end
     before, what was reached becomes one vertex of the edges that are left.
@@ -40,18 +40,18 @@ def _peel(ws: Workspace, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         ids = F.broadcast(frontier) if turn == 1 else frontier  # one row at first, however many edges it has
         forward = edges.join(ids, F.col("u") == F.col("id"), "left_semi").select(F.col("v").alias("id"))
         back = edges.join(ids, F.col("v") == F.col("id"), "left_semi").select(F.col("u").alias("id"))
-        frontier = ws.write(forward.unionAll(back).distinct().join(reached, "id", "left_anti"), f"reached-{turn}")
-        if frontier.isEmpty():
+        frontier, found = ws.write_counting(forward.unionAll(back).distinct().join(reached, "id", "left_anti"), f"reached-{turn}", "true")
+        if not found:
             done = True
             break
         reached = reached.unionAll(frontier)
-    least = reached.agg(F.min("id").alias("parent"))
-    peeled = ws.write(reached.join(F.broadcast(least)), "peeled")
+    least = reached.agg(F.min("id")).first()[0]
+    peeled = ws.write(reached.select("id", F.lit(least).alias("parent")), "peeled")
     if done:
         rest = edges.join(peeled, F.col("u") == F.col("id"), "left_anti")
     else:
         rest = _contract(edges, peeled)
-    return peeled, ws.write(rest, "rest-0")
+    return peeled, *ws.write_counting(rest, "rest-0", "true")
 
 
 def _contract(edges: DataFrame, parents: DataFrame) -> DataFrame:
@@ -74,11 +74,11 @@ def _propagate(ws: Workspace, edges: DataFrame, turn: int) -> DataFrame:
     while True:
         above = parents.select(F.col("id").alias("parent"), F.col("parent").alias("top"))
         jump += 1
-        further = ws.write(parents.join(above, "parent").select("id", F.col("top").alias("parent"), (F.col("top") < F.col("parent")).alias("moved")), f"parents-{turn}-{jump}")
+        further = parents.join(above, "parent").select("id", F.col("top").alias("parent"), (F.col("top") < F.col("parent")).alias("moved"))
+        parents, moved = ws.write_counting(further, f"parents-{turn}-{jump}", "moved")
         ws.drop(f"parents-{turn}-{jump - 1}")
-        parents = further.select("id", "parent")
-        if further.filter("moved").isEmpty():
-            return parents
+        if not moved:
+            return parents.select("id", "parent")
 
 
 def groups(ws: Workspace, edges: DataFrame) -> DataFrame:
@@ -91,16 +91,16 @@ def groups(ws: Workspace, edges: DataFrame) -> DataFrame:
     the vertices of a component, so long chains take a logarithmic number of
     rounds; nothing is gathered per group. No edges: no rows.
     """
-    edges = ws.write(edges, "edges")
-    if edges.isEmpty():
+    edges, n = ws.write_counting(edges, "edges", "true")
+    if not n:
         return edges.select(F.col("u").alias("id"), F.col("v").alias("group_id"))
-    peeled, rest = _peel(ws, edges)
+    peeled, rest, n = _peel(ws, edges)
     steps, turn = [], 0
-    while not rest.isEmpty():
+    while n:
         turn += 1
         parents = _propagate(ws, rest, turn)
         steps.append(parents)
-        rest = ws.write(_contract(rest, parents), f"rest-{turn}")
+        rest, n = ws.write_counting(_contract(rest, parents), f"rest-{turn}", "true")
         ws.drop(f"rest-{turn - 1}")
     labels = None
     for parents in reversed([peeled, *steps]):

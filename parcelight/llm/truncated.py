@@ -43,13 +43,13 @@ def added_lines(documents: DataFrame, text: str, source: str) -> list[str]:
     rows = documents.select(F.coalesce(source, F.lit("")).alias("s"), _last_line(F.col(text)).alias("line"))
     counts = rows.groupBy("s", "line").agg(F.count("*").alias("n"))
     sizes = rows.groupBy("s").agg(F.count("*").alias("size"))
-    total = sizes.agg(F.sum("size").alias("total"))
-    used = counts.filter((F.length("line") > 0) & (F.length("line") <= LINE)).join(sizes, "s").filter(F.col("n") * 10 >= 2)
+    total = sizes.agg(F.sum("size")).first()[0] or 1
+    used = counts.filter((F.length("line") > 0) & (F.length("line") <= LINE)).join(sizes, "s")
     lines = used.groupBy("line").agg(F.sum("n").alias("all"), F.max(F.col("n") / F.col("size")).alias("share"))
-    known = used.join(lines.filter("all >= 12 and share >= 0.002"), "line").crossJoin(F.broadcast(total))
-    often = known.filter(F.col("n") / F.col("size") > 0.1 * F.col("all") / F.col("total"))
-    holding = often.groupBy("line").agg(F.sum("size").alias("held"), F.first("all").alias("all"), F.first("total").alias("total"))
-    rare = 1 - F.col("held") / F.col("total")
+    known = used.join(lines.filter("all >= 12 and share >= 0.002"), "line")
+    often = known.filter(F.col("n") / F.col("size") > 0.1 * F.col("all") / total)
+    holding = often.groupBy("line").agg(F.sum("size").alias("held"), F.first("all").alias("all"))
+    rare = 1 - F.col("held") / total
     return sorted(r.line for r in holding.filter((rare >= 0.2) & (rare * F.col("all") >= 12)).select("line").collect())
 
 
@@ -142,6 +142,7 @@ def features(text: str, at_limit: bool) -> np.ndarray:
         f"last {last[:24]}",
         f"last two {' '.join(words[-2:])[-40:]}",
         f"end {text[-3:]}",
+        f"names {all(w[:1].isupper() for w in words)} {'  ' in line} {size} {done}",
         f"limit {at_limit}",
         f"limit {at_limit} {done}",
         f"limit {at_limit} {kinds[-1:]}",
