@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelight.operators.components import both_ways, contract, label
 from parcelight.runtime import Workspace
 
 #: Rounds of the breadth-first search; what it has not reached by then is labelled like the rest.
@@ -23,17 +24,13 @@ def clean_edges(matches: DataFrame, known: DataFrame | None, a: str, b: str, key
     return edges
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-
-
 def _peel(ws: Workspace, edges: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """The component of the vertex of highest degree as (id, parent), the edges that are left and their number.
 
     Frontiers are joined with the edges until one is empty. If BFS_ROUNDS end
     before, what was reached becomes one vertex of the edges that are left.
     """
-    hub = _both_ways(edges).groupBy("u").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "u").limit(1).select(F.col("u").alias("id"))
+    hub = both_ways(edges).groupBy("u").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "u").limit(1).select(F.col("u").alias("id"))
     reached = frontier = ws.write(hub, "reached-0")
     done = False
     for turn in range(1, BFS_ROUNDS + 1):
@@ -50,37 +47,10 @@ def _peel(ws: Workspace, edges: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     if done:
         rest = edges.join(peeled, F.col("u") == F.col("id"), "left_anti")
     else:
-        rest = _contract(edges, peeled)
+        rest = contract(edges, peeled)
     return peeled, *ws.write_counting(rest, "rest-0", "true")
 
 
-def _contract(edges: DataFrame, parents: DataFrame) -> DataFrame:
-    """The edges between the vertices' parents; a vertex without one stays."""
-    at_u = parents.select(F.col("id").alias("u"), F.col("parent").alias("pu"))
-    at_v = parents.select(F.col("id").alias("v"), F.col("parent").alias("pv"))
-    moved = edges.join(at_u, "u", "left").join(at_v, "v", "left").select(F.coalesce("pu", "u").alias("a"), F.coalesce("pv", "v").alias("b"))
-    return moved.filter("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
-
-
-def _propagate(ws: Workspace, edges: DataFrame, turn: int) -> DataFrame:
-    """(id, parent): the least vertex that each vertex reaches by always going on to its least neighbour.
-
-    Minima propagate along these paths with doubled steps until nothing moves:
-    a chain of n takes log2(n) joins instead of n rounds.
-    """
-    low = _both_ways(edges).groupBy("u").agg(F.min("v").alias("m"))
-    parents = ws.write(low.select(F.col("u").alias("id"), F.least("u", "m").alias("parent")), f"parents-{turn}-0")
-    jump = 0
-    while True:
-        above = parents.select(F.col("id").alias("parent"), F.col("parent").alias("top"))
-        jump += 1
-        further = parents.join(above, "parent").select("id", F.col("top").alias("parent"), (F.col("top") < F.col("parent")).alias("moved"))
-        parents, moved = ws.write_counting(further, f"parents-{turn}-{jump}", "moved")
-        ws.drop(f"parents-{turn}-{jump - 1}")
-        if not moved:
-            return parents.select("id", "parent")
-
-
 def groups(ws: Workspace, edges: DataFrame) -> DataFrame:
     """(id, group_id): each vertex of `edges` (u, v; u < v) with the least id of its component.
 
@@ -95,19 +65,4 @@ def groups(ws: Workspace, edges: DataFrame) -> DataFrame:
     if not n:
         return edges.select(F.col("u").alias("id"), F.col("v").alias("group_id"))
     peeled, rest, n = _peel(ws, edges)
-    steps, turn = [], 0
-    while n:
-        turn += 1
-        parents = _propagate(ws, rest, turn)
-        steps.append(parents)
-        rest, n = ws.write_counting(_contract(rest, parents), f"rest-{turn}", "true")
-        ws.drop(f"rest-{turn - 1}")
-    labels = None
-    for parents in reversed([peeled, *steps]):
-        if labels is None:
-            labels = parents.select("id", F.col("parent").alias("group_id"))
-        else:
-            top = labels.select(F.col("id").alias("parent"), "group_id")
-            moved = parents.join(top, "parent", "left").select("id", F.coalesce("group_id", "parent").alias("group_id"))
-            labels = moved.unionAll(labels.join(parents.select("id"), "id", "left_anti"))
-    return labels
+    return label(ws, rest, n, peeled)
