@@ -152,9 +152,10 @@ def wgs84_to_utm_legacy(d: Domain) -> DataFrame:
 @query("select tile, x0 as x, y0 as y from grid")
 def crs_transform(d: Domain) -> DataFrame:
     """To the neighbouring zone and back again: where it started, to the centimetre."""
-    there = utm.reproject(F.col("x0"), F.col("y0"), F.lit(25831), F.lit(25830))
-    back = utm.reproject(F.col("x"), F.col("y"), F.lit(25830), F.lit(25831))
-    return d.grid.select("tile", there[0].alias("x"), there[1].alias("y")).select("tile", F.round(back[0], 2).alias("x"), F.round(back[1], 2).alias("y"))
+    start = d.grid.select("tile", F.col("x0").alias("x"), F.col("y0").alias("y"))
+    there = utm.reproject(start, "x", "y", F.lit(25831), F.lit(25830))
+    back = utm.reproject(there, "x", "y", F.lit(25830), F.lit(25831))
+    return back.select("tile", F.round("x", 2).alias("x"), F.round("y", 2).alias("y"))
 
 
 @query("select tile, cast(coalesce(case when tile % 3 = 0 then null else 25830 end, 25831) as int) as srid from grid")
@@ -544,7 +545,7 @@ def skip_list(d: Domain) -> DataFrame:
 # --- scalar functions ---------------------------------------------------------
 
 
-@query(r"""select p_partkey as k, replace(p_brand, '#', '_') as stem, contains(p_name, 'ring') as has_ring, string_split(p_name, ' ')[1] as head, list_transform(string_split(p_name || ', ' || p_brand, ','), x -> trim(x)) as parts,
+@query(r"""select p_partkey as k, replace(p_brand, '#', '_') as stem, contains(p_name, 'ring') as has_ring, string_split(p_name, ' ')[1] as head, list_transform(string_split(p_name || ', ' || p_brand, ','), lambda x: trim(x)) as parts,
     lower(p_type) as low, printf('%04d', p_partkey) as padded, printf('%.2f', p_retailprice) as price, ends_with(p_name, 'g') as ends, regexp_extract(p_brand, '#(\d+)', 1) as num from part""")
 def fn_string(d: Domain) -> DataFrame:
     name, brand = F.col("p_name"), F.col("p_brand")
@@ -568,7 +569,7 @@ def fn_math(d: Domain) -> DataFrame:
     return d.points.select("pid", F.round(1 / (1 + F.exp(-v / 100)), 9).alias("sigmoid"), F.round(F.sqrt(F.pow(F.sin(v), F.lit(2)) + F.pow(F.cos(v), F.lit(2))) + F.tan(F.radians(v)), 6).alias("trig"), F.abs(v - 50).alias("dev"), F.least(F.lit(100.0), F.greatest(F.lit(0.0), v)).alias("clamped"))
 
 
-@query("""select vec_id, list_max(embedding) as hi, list_min(embedding) as lo, len(embedding) as n, list_transform(list_zip(embedding[1:4], embedding[5:8]), x -> greatest(x[1], x[2])) as both from embeddings""")
+@query("""select vec_id, list_max(embedding) as hi, list_min(embedding) as lo, len(embedding) as n, list_transform(list_zip(embedding[1:4], embedding[5:8]), lambda x: greatest(x[1], x[2])) as both from embeddings""")
 def fn_array(d: Domain) -> DataFrame:
     e = F.col("embedding")
     return d.table("embeddings").select("vec_id", F.array_max(e).alias("hi"), F.array_min(e).alias("lo"), F.size(e).cast("long").alias("n"), F.zip_with(F.slice(e, 1, 4), F.slice(e, 5, 4), lambda a, b: F.greatest(a, b)).alias("both"))
