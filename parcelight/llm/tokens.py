@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +21,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 #: Bytes that the rolling hash sees, bits of it that must be zero at a cut, and the bytes after which a chunk is cut anywhere.
 WINDOW, CUT_BITS, LONGEST = 32, 5, 4096
-#: Bytes that are hashed at once.
-SLICE = 4 << 20
+#: Bytes that are hashed at once, tokens of texts put together at once, bytes of text in a block, and bytes of input per bucket of chunks.
+SLICE, TOKENS, BLOCK, BUCKET = 4 << 20, 1 << 20, 1 << 18, 8 << 20
 
 _GEAR = np.array([xxhash.xxh32_intdigest(bytes([b])) for b in range(256)], dtype="uint32")
 _GRAPHIC = np.zeros(256, bool)
@@ -54,6 +55,10 @@ def _edges(folder: str, name: str) -> tuple[np.ndarray, np.ndarray, list[bytes]]
     return np.array([bool(t) and bool(_GRAPHIC[t[-1]]) for t in tokens]), np.array([bool(t) and bool(_BLANK[t[0]]) for t in tokens]), tokens
 
 
+def _id_type(folder: str, name: str) -> str:
+    return "<u4" if max(_vocabulary(folder, name).values()) >= 1 << 16 else "<u2"
+
+
 def rolling_hash(data: np.ndarray) -> np.ndarray:
     """Gear hash of the WINDOW bytes up to each byte: the sum of table[byte] << age."""
     h = _GEAR[data]
@@ -66,13 +71,13 @@ def rolling_hash(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def chunk_starts(data: np.ndarray, offsets: np.ndarray, longest: int | None = LONGEST) -> np.ndarray:
     """Where the chunks of consecutive texts (text i is data[offsets[i]:offsets[i + 1]]) begin.
 
     A cut needs a blank after a graphic ASCII character, which the tokenizer
     always splits at, and zero bits in the rolling hash of the bytes before it,
     all of the same text. So it depends on the text's own bytes only. Where
-    none comes for LONGEST bytes, the text is cut between any two characters.
+    none comes for `longest` bytes, the text is cut between any two characters.
     """
     cut = np.zeros(len(data) + 1, bool)
     if len(data) > 1:
@@ -84,10 +89,12 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     cut[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
     cut[-1] = False
     starts = np.flatnonzero(cut)
+    if longest is None:
+        return starts
     lengths = np.diff(np.append(starts, len(data)))
     extra = []
-    for s, n in zip(starts[lengths > LONGEST].tolist(), lengths[lengths > LONGEST].tolist()):
-        for p in range(s + LONGEST, s + n, LONGEST):
+    for s, n in zip(starts[lengths > longest].tolist(), lengths[lengths > longest].tolist()):
+        for p in range(s + longest, s + n, longest):
             while data[p] & 0xC0 == 0x80:
                 p -= 1
             extra.append(p)
@@ -106,58 +113,112 @@ def _slices(array: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         start = stop
 
 
-def _chunks(array: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes], bytes, np.ndarray]]:
-    """(row, place in the row's text, digest) of each chunk, and all bytes with the chunks' bounds."""
-    for first, data, offsets in _slices(array):
-        starts = chunk_starts(data, offsets)
-        if not len(starts):
-            continue
-        ends = np.append(starts[1:], len(data))
-        row = np.searchsorted(offsets, starts, "right") - 1
-        place = np.arange(len(starts)) - np.searchsorted(row, row, "left")
-        raw = data.tobytes()
-        view = memoryview(raw)
-        digests = [xxhash.xxh3_128_digest(view[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
-        yield first + row, place, digests, raw, np.append(starts, len(data))
-
-
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each chunk that is new to the task: (chunk, text)."""
-    seen: set[bytes] = set()
-    for b in batches:
-        for _, _, digests, raw, bounds in _chunks(b.column(0)):
-            new = []
-            for i, d in enumerate(digests):
-                if d not in seen:
-                    seen.add(d)
-                    new.append(i)
-            text = [raw[a:e] for a, e in zip(bounds[new].tolist(), bounds[np.array(new, "int64") + 1].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array([digests[i] for i in new], pa.binary()), pa.array(text, pa.binary()).cast(pa.string())], ["chunk", "text"])
-
-
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Where the chunks are: (row, place, chunk)."""
-    for b in batches:
-        keys = b.column(0).to_numpy()
-        for row, place, digests, _, _ in _chunks(b.column(1)):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[row]), pa.array(place.astype("int32")), pa.array(digests, pa.binary())], ["row", "place", "chunk"])
+class _Cutter:
+    """The chunks of one task's texts, numbered in the order in which they first occur."""
+
+    def __init__(self, longest: int | None):
+        self.longest, self.numbers = longest, {}
+
+    def cut(self, array: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[tuple[int, bytes, bytes]]]]:
+        """(rows, chunks per row, number of each chunk, new chunks as (number, digest, text)) of runs of rows."""
+        for _, data, offsets in _slices(array):
+            starts = chunk_starts(data, offsets, self.longest)
+            ends = np.append(starts[1:], len(data))[: len(starts)]
+            row = np.searchsorted(offsets, starts, "right") - 1
+            raw = data.tobytes()
+            numbers, new = np.empty(len(starts), "int32"), []
+            for i, (a, e) in enumerate(zip(starts.tolist(), ends.tolist())):
+                text = raw[a:e]
+                digest = xxhash.xxh3_128_digest(text)
+                n = self.numbers.get(digest)
+                if n is None:
+                    n = self.numbers[digest] = len(self.numbers)
+                    new.append((n, digest, text))
+                numbers[i] = n
+            yield len(offsets) - 1, np.bincount(row, minlength=len(offsets) - 1), numbers, new
+
+
+def _packed(*arrays: np.ndarray | bytes) -> bytes:
+    return zstandard.compress(b"".join(a if isinstance(a, bytes) else a.tobytes() for a in arrays), 3)
+
+
+_BLOCKS = pa.schema([("bucket", pa.int32()), ("split", pa.int32()), ("n", pa.int32()), ("block", pa.binary())])
+
+
+def _texts(buckets: int, longest: int | None):
+    """Asks for each chunk of the task once: blocks of (number, digest, text) by bucket of the digest."""
+
+    def block(bucket: int, split: int, chunks: list[tuple[int, bytes, bytes]]) -> dict:
+        numbers, digests, texts = zip(*chunks)
+        packed = _packed(np.array(numbers, "<i4"), np.array([len(t) for t in texts], "<i4"), b"".join(digests), b"".join(texts))
+        return {"bucket": bucket, "split": split, "n": len(chunks), "block": packed}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, cutter = 0, _Cutter(longest)
+        waiting: dict[int, list] = {}
+        held: dict[int, int] = {}
+        for b in batches:
+            if not len(b):
+                continue
+            split, full = b.column(0)[0].as_py(), []
+            for _, _, _, new in cutter.cut(b.column(1)):
+                for chunk in new:
+                    at = int.from_bytes(chunk[1][:4], "little") % buckets
+                    waiting.setdefault(at, []).append(chunk)
+                    held[at] = held.get(at, 0) + len(chunk[2])
+                    if held[at] >= BLOCK:
+                        full.append(block(at, split, waiting.pop(at)))
+                        del held[at]
+            if full:
+                yield pa.RecordBatch.from_pylist(full, _BLOCKS)
+        if waiting:
+            yield pa.RecordBatch.from_pylist([block(at, split, chunks) for at, chunks in waiting.items()], _BLOCKS)
+
+    return run
+
+
+def _recipes(longest: int | None):
+    """The numbers of the chunks of which each row's text consists."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter = _Cutter(longest)
+        for b in batches:
+            done = 0
+            for rows, counts, numbers, _ in cutter.cut(b.column(2)):
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype("int32")), pa.array(numbers))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(done, rows), b.column(1).slice(done, rows), lists], ["split", "key", "chunks"])
+                done += rows
+
+    return run
 
 
 def _encode(folder: str, name: str, count_only: bool):
+    """Encodes each chunk of a bucket once and answers every block that asked for it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen = encoder(folder, name).encode_ordinary, set()
-        graphic, blank, _ = _edges(folder, name)
+        encode = encoder(folder, name).encode_ordinary
+        wide = _id_type(folder, name)
+        bucket, known = None, {}
         for b in batches:
-            chunks, ids = [], []
-            for d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if d not in seen:  # several tasks may have sent it
-                    seen.add(d)
-                    chunks.append(d)
-                    ids.append(np.array(encode(text), "<u4" if len(graphic) > 1 << 16 else "<u2"))
-            if count_only:
-                yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.binary()), pa.array([len(x) for x in ids], pa.int32()), pa.array([bool(graphic[x[-1]]) for x in ids], pa.bool_()), pa.array([bool(blank[x[0]]) for x in ids], pa.bool_())], ["chunk", "n", "ends", "begins"])
-            else:
-                yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.binary()), pa.array([x.tobytes() for x in ids], pa.binary())], ["chunk", "ids"])
+            out = []
+            for at, split, n, block in zip(*(c.to_pylist() for c in b.columns)):
+                if at != bucket:
+                    bucket, known = at, {}
+                raw = zstandard.decompress(block)
+                lengths = np.frombuffer(raw, "<i4", n, 4 * n)
+                ends = (np.cumsum(lengths) + 24 * n).tolist()
+                ids, start = [], 24 * n
+                for i, end in enumerate(ends):
+                    digest = raw[8 * n + 16 * i : 8 * n + 16 * (i + 1)]
+                    found = known.get(digest)
+                    if found is None:
+                        tokens = encode(raw[start:end].decode())
+                        found = known[digest] = len(tokens) if count_only else np.array(tokens, wide)
+                    ids.append(found)
+                    start = end
+                sizes = np.array(ids if count_only else [len(x) for x in ids], "<i4")
+                out.append({"bucket": at, "split": split, "n": n, "block": _packed(raw[: 4 * n], sizes, b"" if count_only else np.concatenate(ids))})
+            yield pa.RecordBatch.from_pylist(out, _BLOCKS)
 
     return run
 
@@ -188,96 +249,120 @@ def repair(ids: list[int], joins: list[int], folder: str, name: str) -> list[int
     return out + ids[done:]
 
 
-def _assemble(folder: str, name: str):
-    def finish(rows: np.ndarray, sizes: np.ndarray, tokens: np.ndarray) -> pa.RecordBatch:
-        graphic, blank, _ = _edges(folder, name)
-        first = np.append(True, rows[1:] != rows[:-1])
-        ends = np.cumsum(sizes)
-        text_starts = np.append((ends - sizes)[first], len(tokens))
-        keys = rows[first]
-        at = (ends - sizes)[~first]
-        doubtful = at[~(graphic[tokens[at - 1]] & blank[tokens[at]])]
-        if not len(doubtful):
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.ListArray.from_arrays(pa.array(text_starts.astype("int32")), pa.array(tokens.astype("int32")))], ["row", "ids"])
-        texts = [tokens[a:b].tolist() for a, b in zip(text_starts[:-1].tolist(), text_starts[1:].tolist())]
-        owner = np.searchsorted(text_starts, doubtful, "right") - 1
-        for t in np.unique(owner).tolist():
-            texts[t] = repair(texts[t], (doubtful[owner == t] - text_starts[t]).tolist(), folder, name)
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(texts, pa.list_(pa.int32()))], ["row", "ids"])
-
+class _Answers:
+    """Token ids (or only their number) of a split's chunks, by the chunks' numbers."""
+
+    def __init__(self, blocks: list[tuple[int, bytes]], wide: str):
+        numbers, sizes, tokens = [], [], []
+        for n, block in blocks:
+            raw = zstandard.decompress(block)
+            numbers.append(np.frombuffer(raw, "<i4", n))
+            sizes.append(np.frombuffer(raw, "<i4", n, 4 * n))
+            tokens.append(np.frombuffer(raw, wide, -1, 8 * n))
+        number, size = (np.concatenate(x) if x else np.zeros(0, "int32") for x in (numbers, sizes))
+        self.tokens = np.concatenate(tokens) if tokens else np.zeros(0, wide)
+        self.sizes, self.starts = np.zeros(len(number), "int64"), np.zeros(len(number), "int64")
+        self.sizes[number], self.starts[number] = size, np.cumsum(size) - size
+
+
+def _texts_ids(answers: _Answers, counts: np.ndarray, chunks: np.ndarray, folder: str, name: str) -> pa.Array:
+    """The ids of rows of `counts` chunks each."""
+    graphic, blank, _ = _edges(folder, name)
+    sizes = answers.sizes[chunks]
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    tokens = answers.tokens[np.arange(total) - np.repeat(ends - sizes, sizes) + np.repeat(answers.starts[chunks], sizes)]
+    bounds = np.append(0, np.cumsum(counts))
+    text_starts = np.append(ends - sizes, total)[bounds]
+    inner = np.ones(len(chunks), bool)
+    inner[bounds[:-1][counts > 0]] = False
+    at = (ends - sizes)[inner]
+    doubtful = at[~(graphic[tokens[at - 1]] & blank[tokens[at]])]
+    if not len(doubtful):
+        return pa.ListArray.from_arrays(pa.array(text_starts.astype("int32")), pa.array(tokens.astype("int32")))
+    texts = [tokens[a:b].tolist() for a, b in zip(text_starts[:-1].tolist(), text_starts[1:].tolist())]
+    owner = np.searchsorted(text_starts, doubtful, "right") - 1
+    for t in np.unique(owner).tolist():
+        texts[t] = repair(texts[t], (doubtful[owner == t] - text_starts[t]).tolist(), folder, name)
+    return pa.array(texts, pa.list_(pa.int32()))
+
+
+def _assemble(folder: str, name: str, count_only: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wide = "<u4" if len(_edges(folder, name)[0]) > 1 << 16 else "<u2"
-        rest = (np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0, wide))
+        split, blocks, answers = None, [], None
+        wide = _id_type(folder, name)
         for b in batches:
-            column = b.column(1).cast(pa.large_binary())
-            offsets = np.frombuffer(column.buffers()[1], "int64")[column.offset : column.offset + len(column) + 1]
-            tokens = np.frombuffer(column.buffers()[2] or b"", wide)[offsets[0] // int(wide[2]) : offsets[-1] // int(wide[2])]
-            rows = np.concatenate([rest[0], b.column(0).to_numpy()])
-            sizes = np.concatenate([rest[1], np.diff(offsets) // int(wide[2])])
-            tokens = np.concatenate([rest[2], tokens])
-            if not len(rows):
-                continue
-            whole = int(np.searchsorted(rows, rows[-1], "left"))  # the last text may go on in the next batch
-            n = int(sizes[:whole].sum())
-            if whole:
-                yield finish(rows[:whole], sizes[:whole], tokens[:n])
-            rest = rows[whole:], sizes[whole:], tokens[n:]
-        if len(rest[0]):
-            yield finish(*rest)
+            splits = b.column(0).to_numpy()
+            is_answer = b.column(1).is_valid().to_numpy(zero_copy_only=False)
+            change = np.flatnonzero((np.diff(splits) != 0) | (np.diff(is_answer.astype("int8")) != 0)) + 1
+            for start, stop in zip(np.append(0, change).tolist(), np.append(change, len(b)).tolist()):
+                if start == stop:
+                    continue
+                if splits[start] != split:
+                    split, blocks, answers = splits[start], [], None
+                part = b.slice(start, stop - start)
+                if is_answer[start]:
+                    blocks += zip(part.column(1).to_pylist(), part.column(2).to_pylist())
+                    continue
+                if answers is None:
+                    answers, blocks = _Answers(blocks, wide), []
+                lists = part.column(4)
+                offsets = np.asarray(lists.offsets)
+                chunks, counts = np.asarray(lists.flatten()), np.diff(offsets)
+                first = np.append(0, np.cumsum(counts))
+                if count_only:
+                    summed = np.append(0, np.cumsum(answers.sizes[chunks]))[first]
+                    yield pa.RecordBatch.from_arrays([part.column(3), pa.array(np.diff(summed))], ["key", "n"])
+                    continue
+                size = np.append(0, np.cumsum(answers.sizes[chunks]))[first]
+                row = 0
+                while row < len(part):
+                    end = max(row + 1, int(np.searchsorted(size, size[row] + TOKENS, "right")) - 1)
+                    ids = _texts_ids(answers, counts[row:end], chunks[first[row] : first[end]], folder, name)
+                    yield pa.RecordBatch.from_arrays([part.column(3).slice(row, end - row), ids], ["key", "ids"])
+                    row = end
 
     return run
 
 
-def _encoded(texts: DataFrame, folder: str, name: str, count_only: bool) -> DataFrame:
-    chunks = texts.select("text").filter("text <> ''").mapInArrow(_texts, "chunk binary, text string")
-    schema = "chunk binary, n int, ends boolean, begins boolean" if count_only else "chunk binary, ids binary"
-    return chunks.repartition("chunk").mapInArrow(_encode(folder, name, count_only), schema)
+def _encoded(documents: DataFrame, key: str, text: str, folder: str, name: str, count_only: bool) -> DataFrame:
+    spark = documents.sparkSession
+    longest = None if count_only else LONGEST
+    # The number of the reading task; a union shifts the number that a task itself has.
+    rows = documents.select(F.spark_partition_id().alias("split"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    kind = rows.schema["key"].dataType.simpleString()
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    buckets = int(min(1 << 20, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET)))
+    asked = rows.select("split", "text").mapInArrow(_texts(buckets, longest), "bucket int, split int, n int, block binary")
+    answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_encode(folder, name, count_only), "bucket int, split int, n int, block binary")
+    recipes = rows.mapInArrow(_recipes(longest), f"split int, key {kind}, chunks array<int>")
+    nothing = lambda t: F.lit(None).cast(t)
+    both = answers.select("split", "n", "block", nothing(kind).alias("key"), nothing("array<int>").alias("chunks")).unionAll(recipes.select("split", nothing("int").alias("n"), nothing("binary").alias("block"), "key", "chunks"))
+    together = both.repartition("split").sortWithinPartitions("split", F.col("n").isNull())
+    return together.mapInArrow(_assemble(folder, name, count_only), f"key {kind}, " + ("n long" if count_only else "ids array<int>")).withColumnRenamed("key", key)
 
 
 def token_ids(documents: DataFrame, key: str = "doc_id", text: str = "text", folder: str = TOKENIZERS, name: str = BYTE_BPE) -> DataFrame:
     """(key, ids): the token ids of each row's text, without special tokens.
 
-    A null and an empty text give an empty list. Rows with the same key stay
-    apart, each with its own ids; a null key is kept.
-
-    Texts are cut into content-defined chunks. A chunk goes to the encoding
-    stage at most once per reading task and is encoded once, wherever it
-    occurs; only digests of 16 bytes and ids travel after that. A chunk that a
-    large part of all rows share is one row of the encoded side; its places are
-    split by Spark's skew join. Ids of a text meet again in one task, where
-    every join at which the tokenizer might not split is encoded again.
+    A null and an empty text give an empty list. Rows with the same or a null
+    key stay apart, each with its own ids.
+
+    Texts are cut into content-defined chunks. Each reading task asks for each
+    of its chunks once, in compressed blocks by the chunk's digest; where the
+    requests meet, a chunk is encoded once, wherever it occurs, and every task
+    that asked gets the ids back. So a chunk that a large part of all rows
+    share costs a request per task, not per row. The answers meet the task's
+    recipes, the chunk numbers of its rows, and joins at which the tokenizer
+    might not split are encoded again. `documents` must give its tasks the same
+    rows in the same order whenever it is read, as tables in files do.
     """
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col(key), F.col(text).alias("text"))
-    places = rows.select("row", "text").filter("text <> ''").mapInArrow(_places, "row long, place int, chunk binary")
-    joined = places.join(_encoded(rows, folder, name, False), "chunk").select("row", "place", "ids")
-    together = joined.repartition("row").sortWithinPartitions("row", "place").select("row", "ids").mapInArrow(_assemble(folder, name), "row long, ids array<int>")
-    return rows.select("row", key).join(together, "row", "left").select(key, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-
-
-def _count(folder: str, name: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(folder, name).encode_ordinary
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(encode(t)) for t in b.column(1).to_pylist()], pa.int64())], ["row", "n"])
-
-    return run
+    return _encoded(documents, key, text, folder, name, False)
 
 
 def token_counts(documents: DataFrame, key: str = "doc_id", text: str = "text", folder: str = TOKENIZERS, name: str = BYTE_BPE) -> DataFrame:
     """(key, n): the number of token ids of each row's text, as of token_ids; null and empty texts have 0.
 
-    Chunks are counted once and summed up per text. A text in which two chunks
-    meet where the tokenizer might not split is encoded whole.
+    Chunks end only where the tokenizer always splits, so their numbers add up.
     """
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col(key), F.col(text).alias("text"))
-    places = rows.select("row", "text").filter("text <> ''").mapInArrow(_places, "row long, place int, chunk binary")
-    counted = places.join(_encoded(rows, folder, name, True), "chunk")
-    # Joins are sound if every chunk but the first begins blank and every chunk but the last ends graphic.
-    last = F.max(F.struct("place", "ends"))["ends"]
-    per_text = counted.groupBy("row").agg(
-        F.sum(F.col("n").cast("long")).alias("n"),
-        (F.count_if(~F.col("begins") & (F.col("place") > 0)) + F.count_if(~F.col("ends")) - F.when(last, 0).otherwise(1)).alias("doubtful"),
-    )
-    sound = per_text.filter("doubtful = 0").select("row", "n")
-    again = rows.join(per_text.filter("doubtful > 0"), "row", "left_semi").select("row", "text").mapInArrow(_count(folder, name), "row long, n long")
-    return rows.select("row", key).join(sound.unionAll(again), "row", "left").select(key, F.coalesce("n", F.lit(0)).alias("n"))
+    return _encoded(documents, key, text, folder, name, True)
