@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -64,12 +65,15 @@ def dissolved(ws: Workspace, boxes: DataFrame, buffer: float, within: list[str]
     return boxes.join(found, "id", "left").withColumn("blob_id", F.coalesce("group_id", "id")).drop("group_id")
 
 
-def dilated_area(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray, d: float, steps: int = 64) -> float:
+def dilated_area(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray, d: float, steps: int = 32) -> float:
     """Area of the union of boxes dilated by d with round corners.
 
     Integrates the covered length over y, by Gauss-Legendre rules between the
     heights at which an edge or corner begins.
     """
+    if len(x0) == 1:
+        w, h = float(x1[0] - x0[0]), float(y1[0] - y0[0])
+        return w * h + 2 * d * (w + h) + math.pi * d * d
     ys = np.unique(np.concatenate([y0 - d, y0, y1, y1 + d]))
     nodes, weights = np.polynomial.legendre.leggauss(steps if d > 0 else 1)
     total = 0.0
@@ -97,12 +101,31 @@ def blobs(boxes: DataFrame, buffer: float, within: list[str] = (), min_area: flo
     Blobs below `min_area` are left out. A blob is one polygon, so it is made by one task.
     """
 
-    def area(pdf: pd.DataFrame) -> pd.DataFrame:
-        sides = [pdf[c].to_numpy("float64") for c in ("x0", "y0", "x1", "y1")]
-        return pd.DataFrame({"blob_id": pdf["blob_id"].iloc[:1], "area": [dilated_area(*sides, max(buffer, 0.0))]})
-
-    areas = boxes.select("blob_id", "x0", "y0", "x1", "y1").groupBy("blob_id").applyInPandas(area, "blob_id long, area double")
     d = max(buffer, 0.0)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        blob, sides = None, []
+
+        def finish() -> pd.DataFrame:
+            return pd.DataFrame({"blob_id": [blob], "area": [dilated_area(*np.concatenate(sides).T, d)]})
+
+        for b in batches:
+            ids, values = b["blob_id"].to_numpy(), b[["x0", "y0", "x1", "y1"]].to_numpy("float64")
+            bounds = np.append(np.append(0, np.flatnonzero(np.diff(ids)) + 1), len(ids)).tolist() if len(ids) else []
+            out = []
+            for start, stop in zip(bounds[:-1], bounds[1:]):
+                if ids[start] != blob:
+                    if sides:
+                        out.append(finish())
+                    blob, sides = int(ids[start]), []
+                sides.append(values[start:stop])
+            if out:
+                yield pd.concat(out, ignore_index=True)
+        if sides:
+            yield finish()
+
+    slim = boxes.select("blob_id", "x0", "y0", "x1", "y1").repartition("blob_id").sortWithinPartitions("blob_id")
+    areas = slim.mapInPandas(run, "blob_id long, area double")
     whole = boxes.groupBy(*within, "blob_id").agg(F.count("*").alias("n"), (F.min("x0") - d).alias("x0"), (F.min("y0") - d).alias("y0"), (F.max("x1") + d).alias("x1"), (F.max("y1") + d).alias("y1"), F.max("score").alias("score"))
     out = whole.join(areas, "blob_id")
     return out.filter(F.col("area") >= min_area) if min_area is not None else out

@@ -554,7 +554,7 @@ def fn_string(d: Domain) -> DataFrame:
         F.replace(brand, F.lit("#"), F.lit("_")).alias("stem"),
         F.contains(name, F.lit("ring")).alias("has_ring"),
         F.split(name, " ", 2)[0].alias("head"),
-        F.transform(F.split(F.concat(name, F.lit(", "), brand), ","), F.trim).alias("parts"),
+        F.transform(F.split(F.concat(name, F.lit(", "), brand), ","), lambda x: F.trim(x)).alias("parts"),
         F.lower("p_type").alias("low"),
         F.format_string("%04d", "p_partkey").alias("padded"),
         F.format_string("%.2f", "p_retailprice").alias("price"),
