@@ -48,22 +48,26 @@ def label(ws: Workspace, rest: DataFrame, n: int, first: DataFrame | None = None
     logarithmic number of rounds, and nothing is gathered per group. `first`
     holds (id, parent) of vertices that were merged before.
     """
-    steps, turn = [first] if first is not None else [], 0
+    steps, turn = [], 0
     while n:
         turn += 1
         parents = propagate(ws, rest, turn)
         steps.append(parents)
         rest, n = ws.write_counting(contract(rest, parents), f"rest-{turn}", "true")
         ws.drop(f"rest-{turn - 1}")
-    labels = None
-    for parents in reversed(steps):
-        if labels is None:
-            labels = parents.select("id", F.col("parent").alias("group_id"))
-        else:
-            top = labels.select(F.col("id").alias("parent"), "group_id")
-            moved = parents.join(top, "parent", "left").select("id", F.coalesce("group_id", "parent").alias("group_id"))
-            labels = moved.unionAll(labels.join(parents.select("id"), "id", "left_anti"))
-    return labels if labels is not None else rest.select(F.col("u").alias("id"), F.col("v").alias("group_id"))
+    labels = rest.select(F.col("u").alias("id"), F.col("v").alias("group_id"))
+    for i, parents in enumerate(reversed(steps)):  # a later step's vertices are all among an earlier one's
+        labels = labels_of(parents, labels) if i else parents.select("id", F.col("parent").alias("group_id"))
+    if first is None:
+        return labels
+    labels = ws.write(labels, "labels")
+    return labels_of(first, labels).unionAll(labels.join(first, "id", "left_anti"))
+
+
+def labels_of(parents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, group_id): the label of each vertex's parent, or the parent if it has none."""
+    top = labels.select(F.col("id").alias("parent"), "group_id")
+    return parents.join(top, "parent", "left").select("id", F.coalesce("group_id", "parent").alias("group_id"))
 
 
 def components(ws: Workspace, edges: DataFrame) -> DataFrame:
