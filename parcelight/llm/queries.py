@@ -58,13 +58,13 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose text was cut off."""
-    return truncated.scored(read_table(spark, sf_dir, "documents")).filter("margin > 0").select("doc_id")
+    return truncated.scored(Workspace(spark, "p9"), read_table(spark, sf_dir, "documents")).filter("margin > 0").select("doc_id")
 
 
 def p9_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each source's texts are cut off."""
     cut = F.col("margin") > 0
-    return truncated.scored(read_table(spark, sf_dir, "documents")).groupBy("source").agg(F.count("*").alias("n"), F.count_if(cut).alias("cut"), F.avg(cut.cast("double")).alias("share"))
+    return truncated.scored(Workspace(spark, "p9"), read_table(spark, sf_dir, "documents")).groupBy("source").agg(F.count("*").alias("n"), F.count_if(cut).alias("cut"), F.avg(cut.cast("double")).alias("share"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -9,9 +9,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelight.runtime import Workspace
+
 #: Intact texts that the model is fitted on, at most about this many (a sample by hash of the key); each also gives an artificial cut.
 SAMPLE = 20_000
 #: Hashed features, and rounds of the fit.
@@ -24,27 +26,42 @@ LINE, STRIPPED = 80, 3
 _TERMINAL = ".!?。！？"
 _CLOSERS = "\"'”’»›)]}」』）"
 _MARKER = re.compile(r"^\s*(?:\[\d+\]|\(?\d+\)|\d+[.ºna]*[.)]?º?)[\s\t]+")
+_BLANKS = " \t\r\n\x00\x0b\x0c\xa0\ufeff"
 _BLOCK = re.compile(r"\n[ \t\r]*\n")
 
 
-def _last_line(text: Column) -> Column:
-    trimmed = F.regexp_replace(F.substring(text, -400, 400), r"[\s\x00]+$", "")
-    return F.regexp_replace(F.trim(F.regexp_extract(trimmed, r"([^\n]*)$", 1)), r"\d+", "9")
+def _profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        rows = []
+        for text, source in zip(b["text"], b["source"]):
+            line = ""
+            if text:
+                end = text[-400:].rstrip(_BLANKS)
+                line = re.sub(r"[0-9]+", "9", end[end.rfind("\n") + 1 :].strip())
+            size = (len(text), len(text.encode()), xxhash.xxh64_intdigest(text) - (1 << 63)) if text else (0, 0, 0)
+            rows.append((source or "", line if len(line) <= LINE else "", *size))
+        yield pd.DataFrame(rows, columns=["s", "line", "c", "b", "same"])
+
 
+def profile(ws: Workspace, documents: DataFrame, text: str, source: str) -> DataFrame:
+    """One small row per text: source, last line (digits as 9; '' if long), characters, bytes and a hash."""
+    rows = documents.select(F.col(text).alias("text"), F.col(source).alias("source"))
+    return ws.write(rows.mapInPandas(_profiles, "s string, line string, c int, b int, same long"), "profile")
 
-def added_lines(documents: DataFrame, text: str, source: str) -> list[str]:
-    """Last lines (digits as 9) that single sources add to their texts.
+
+def added_lines(rows: DataFrame) -> list[str]:
+    """Last lines that single sources add to their texts, of the rows of `profile`.
 
     A decision's own closing formulas come from all sources alike. A line is a
     source's if the sources that use it at most a tenth as often as all do hold
-    a fifth of all texts or more, where at least 12 would be expected. Counted over all texts; each line
-    makes up 0.2 % of some source's texts or more, so there are at most 500 per source.
+    a fifth of all texts or more, where at least 12 would be expected. Counted
+    over all texts; each line makes up 0.2 % of some source's texts or more,
+    so there are at most 500 per source.
     """
-    rows = documents.select(F.coalesce(source, F.lit("")).alias("s"), _last_line(F.col(text)).alias("line"))
     counts = rows.groupBy("s", "line").agg(F.count("*").alias("n"))
     sizes = rows.groupBy("s").agg(F.count("*").alias("size"))
-    total = sizes.agg(F.sum("size")).first()[0] or 1
-    used = counts.filter((F.length("line") > 0) & (F.length("line") <= LINE)).join(sizes, "s")
+    total = rows.count() or 1
+    used = counts.filter("line <> ''").join(sizes, "s")
     lines = used.groupBy("line").agg(F.sum("n").alias("all"), F.max(F.col("n") / F.col("size")).alias("share"))
     known = used.join(lines.filter("all >= 12 and share >= 0.002"), "line")
     often = known.filter(F.col("n") / F.col("size") > 0.1 * F.col("all") / total)
@@ -53,18 +70,18 @@ def added_lines(documents: DataFrame, text: str, source: str) -> list[str]:
     return sorted(r.line for r in holding.filter((rare >= 0.2) & (rare * F.col("all") >= 12)).select("line").collect())
 
 
-def length_limits(documents: DataFrame, text: str, source: str) -> dict[str, list[tuple[str, int]]]:
-    """source -> (unit, length) at which its texts pile up, in characters ('c') or bytes ('b').
+def length_limits(rows: DataFrame) -> dict[str, list[tuple[str, int]]]:
+    """source -> (unit, length) at which its texts pile up, in characters ('c') or bytes ('b'), of the rows of `profile`.
 
     Repeated texts count once. A length counts if it has at least 5 texts and 1 % of its source's, and ten
     times as many as lengths nearby have on average. So there are at most 100 per source and unit.
     """
-    rows = documents.select(F.coalesce(source, F.lit("")).alias("s"), F.length(text).alias("c"), F.octet_length(text).alias("b"), F.xxhash64(text).alias("same")).filter("b > 0").distinct()
+    rows = rows.filter("b > 0").select("s", "c", "b", "same").distinct()
     sizes = rows.groupBy("s").agg(F.count("*").alias("size"))
     long = rows.select("s", F.explode(F.create_map(F.lit("c"), "c", F.lit("b"), "b")).alias("unit", "length"))
-    counts = long.groupBy("s", "unit", "length").agg(F.count("*").alias("n"))
-    near = counts.select("s", "unit", F.floor(F.col("length") / 100).alias("bucket"), "n").groupBy("s", "unit", "bucket").agg(F.sum("n").alias("near"))
-    peaks = counts.join(sizes, "s").filter((F.col("n") >= 5) & (F.col("n") >= 0.01 * F.col("size"))).withColumn("bucket", F.floor(F.col("length") / 100))
+    counts = long.groupBy("s", "unit", "length").agg(F.count("*").alias("n")).withColumn("bucket", F.floor(F.col("length") / 100))
+    near = counts.groupBy("s", "unit", "bucket").agg(F.sum("n").alias("near"))
+    peaks = counts.join(sizes, "s").filter((F.col("n") >= 5) & (F.col("n") >= 0.01 * F.col("size")))
     peaks = peaks.join(near, ["s", "unit", "bucket"]).filter(F.col("n") * 100 >= 10 * (F.col("near") - F.col("n")))
     limits: dict[str, list[tuple[str, int]]] = {}
     for r in peaks.select("s", "unit", "length").collect():
@@ -220,17 +237,14 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = 1e-5) -> np.ndarray:
     return w
 
 
-def train(documents: DataFrame, key: str, text: str, source: str, added: list[str], limits: dict, sample: int = SAMPLE) -> np.ndarray:
+def train(documents: DataFrame, n: int, key: str, text: str, source: str, added: list[str], limits: dict, sample: int = SAMPLE) -> np.ndarray:
     """Weights fitted on a bounded sample of texts and their artificial cuts.
 
     Texts at a length limit aren't taken. Two first fits, each on half of the
     examples, take the others for intact; what the fit on the other half finds
     cut is left out of the last fit.
     """
-    n = documents.count()
-    if not n:
-        return np.zeros(WIDTH)
-    part = min(1.0, sample / n)
+    part = min(1.0, sample / max(n, 1))
     chosen = documents.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(part * (1 << 30)))
     rows = chosen.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source"))
     examples = rows.mapInPandas(_examples(frozenset(added), limits), "label int, features array<int>").toPandas()
@@ -257,16 +271,16 @@ def _score(added: frozenset[str], limits: dict[str, list[tuple[str, int]]], weig
     return run
 
 
-def scored(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", sample: int = SAMPLE) -> DataFrame:
+def scored(ws: Workspace, documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", sample: int = SAMPLE) -> DataFrame:
     """(key, source, margin) of every row; a margin above 0 means that its text was cut off.
 
     Null, empty and blank texts aren't cut. A null source is one source. Texts
     are judged by their whole length and their end, without lines that the
     source adds. An empty table, or one without texts to learn from, has no cuts.
     """
-    added = added_lines(documents, text, source)
-    limits = length_limits(documents, text, source)
-    weights = train(documents, key, text, source, added, limits, sample).astype("float32")
+    rows = profile(ws, documents, text, source)
+    added, limits = added_lines(rows), length_limits(rows)
+    weights = train(documents, rows.count(), key, text, source, added, limits, sample).astype("float32")
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source"))
     kind = documents.schema[key].dataType.simpleString()
     return rows.mapInPandas(_score(frozenset(added), limits, weights), f"key {kind}, source string, margin double").withColumnRenamed("key", key)
