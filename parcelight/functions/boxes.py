@@ -14,14 +14,19 @@ class Box:
     """Names the four sides of a box in a DataFrame; `prefix` tells two boxes of a row apart."""
 
     def __init__(self, prefix: str = "", names: tuple[str, str, str, str] = ("x0", "y0", "x1", "y1")):
-        self.x0, self.y0, self.x1, self.y1 = (F.col(prefix + n) for n in names)
+        self._names, self._sides = [prefix + n for n in names], None
 
     @classmethod
     def of(cls, x0: Column, y0: Column, x1: Column, y1: Column) -> Box:
-        box = cls.__new__(cls)
-        box.x0, box.y0, box.x1, box.y1 = x0, y0, x1, y1
+        box = cls()
+        box._sides = (x0, y0, x1, y1)
         return box
 
+    def _side(self, i: int) -> Column:
+        return self._sides[i] if self._sides else F.col(self._names[i])  # columns need a session, so not before they are used
+
+    x0, y0, x1, y1 = (property(lambda self, i=i: self._side(i)) for i in range(4))
+
     @property
     def width(self) -> Column:
         return self.x1 - self.x0

@@ -609,4 +609,4 @@ def fn_join_lines(d: Domain) -> DataFrame:
     return d.grid.groupBy("tile").agg(F.array_join(F.array_sort(F.collect_list("coord_1k")), "\n").alias("ids"))
 
 
-__all__ = ["oracle_sql", "queries", "query"]
+
