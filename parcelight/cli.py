@@ -24,6 +24,7 @@ from parcelight.sources.shapefile import Shapefile
 def session() -> SparkSession:
     spark = SparkSession.builder.appName("parcelight").getOrCreate()
     ship(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", True)
     spark.dataSource.register(GeoPackage)
     spark.dataSource.register(Shapefile)
     return spark
@@ -32,7 +33,7 @@ def session() -> SparkSession:
 def read(spark: SparkSession, path: str, layer: str | None = None) -> DataFrame:
     """A table by the form of its path."""
     if path.endswith(".gpkg"):
-        source = spark.read.format("geopackage")
+        source = spark.read.format("geopackage").option("pushdown", True)
         return (source.option("layer", layer) if layer else source).load(path)
     if path.endswith(".shp"):
         return spark.read.format("shapefile").load(path)

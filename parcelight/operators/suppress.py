@@ -83,7 +83,8 @@ def dilated_area(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray,
             continue
         angle = (nodes + 1) * np.pi / 2
         at = low + (high - low) * (1 - np.cos(angle)) / 2  # dense where arcs begin
-        weight = weights * (high - low) * np.sin(angle) * np.pi / 4
+        weight = weights * np.sin(angle)
+        weight *= (high - low) / weight.sum()
         off = np.maximum(np.maximum(y0[hit, None] - at, at - y1[hit, None]), 0.0)
         reach = np.sqrt(np.maximum(d * d - off * off, 0.0))
         left, right = x0[hit, None] - reach, x1[hit, None] + reach

@@ -135,7 +135,7 @@ def layers(documents: DataFrame) -> DataFrame:
                     root = ET.fromstring(text)
                 except (ET.ParseError, TypeError):
                     continue
-                for layer in root.iter("{*}Layer"):
+                for layer in root.iterfind(".//{*}Layer"):
                     name, box = layer.find("{*}Name"), layer.find("{*}BoundingBox")
                     if name is not None and name.text and box is not None:
                         rows.append((name.text, box.get("CRS", ""), *(float(box.get(k, 0)) for k in ("minx", "miny", "maxx", "maxy"))))
