@@ -2,13 +2,13 @@ from __future__ import annotations
 
 import pytest
 
-from parcelight.plans import data_queries, detection_queries, vector_queries
+from parcelight.plans import data_queries, detection_queries, source_queries, vector_queries
 
 from .compare import assert_same
 from .conftest import DATA
 
-RUNS = {k: v for m in (data_queries, vector_queries, detection_queries) for k, v in m.queries().items()}
-SQL = {k: v for m in (data_queries, vector_queries, detection_queries) for k, v in m.oracle_sql().items()}
+RUNS = {k: v for m in (data_queries, vector_queries, detection_queries, source_queries) for k, v in m.queries().items()}
+SQL = {k: v for m in (data_queries, vector_queries, detection_queries, source_queries) for k, v in m.oracle_sql().items()}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
