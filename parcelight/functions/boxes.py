@@ -6,7 +6,7 @@ whole-stage code generation and can be pushed below joins by Catalyst.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -90,6 +90,14 @@ class Box:
         return [self.x0.alias(prefix + "x0"), self.y0.alias(prefix + "y0"), self.x1.alias(prefix + "x1"), self.y1.alias(prefix + "y1")]
 
 
+def repaired(df: DataFrame) -> DataFrame:
+    """Rows with the sides of x0, y0, x1, y1 put in order; boxes without area, or with a null side, are dropped."""
+    box = Box()
+    sides = {"x0": F.least(box.x0, box.x1), "y0": F.least(box.y0, box.y1), "x1": F.greatest(box.x0, box.x1), "y1": F.greatest(box.y0, box.y1)}
+    whole = box.x0.isNotNull() & box.y0.isNotNull() & box.x1.isNotNull() & box.y1.isNotNull()
+    return df.filter(whole & (box.width != 0) & (box.height != 0)).withColumns(sides)
+
+
 def affine(box: Box, a: Column, b: Column, c: Column, d: Column, e: Column, f: Column) -> Box:
     """A pixel box on the ground: x = a col + b row + c, y = d col + e row + f, sides put in order."""
     xs, ys = (a * box.x0 + b * box.y0 + c, a * box.x1 + b * box.y1 + c), (d * box.x0 + e * box.y0 + f, d * box.x1 + e * box.y1 + f)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelight.functions.points import point_xy
+from parcelight.functions.points import located, point_texts
 from parcelight.runtime import Workspace
 
 #: Points that one cell should hold, and the most strips or cells of a strip that are planned (their bounds go to every task: 8 bytes each).
@@ -28,8 +28,9 @@ def locations(df: DataFrame, id_col: str = "id", geometry: str = "geometry", loa
     Of several deliveries the latest loaded located one counts (a null load
     time is the earliest; ties: the largest x, then y). A null id is left out.
     """
-    x, y = point_xy(F.col(geometry))
-    rows = df.select(F.col(id_col).alias("id"), F.col(loaded).alias("at"), x.alias("x"), y.alias("y")).filter("id is not null and x is not null and y is not null")
+    texts = df.select(F.col(id_col).alias("id"), F.col(loaded).alias("at"), point_texts(F.col(geometry)).alias("p")).filter("id is not null")
+    ordinate = lambda i: F.get("p", F.lit(i)).try_cast("double")
+    rows = texts.select("id", "at", ordinate(0).alias("x"), ordinate(1).alias("y")).filter(located(F.col("x"), F.col("y")))
     return rows.groupBy("id").agg(F.max(F.struct("at", "x", "y")).alias("p")).select("id", "p.x", "p.y")
 
 

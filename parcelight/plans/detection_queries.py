@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelight.functions.boxes import Box, repaired
 from parcelight.operators import patches, raster, suppress
 from parcelight.plans import detectors, pipelines
 from parcelight.plans.domain import Domain, Registry
 from parcelight.runtime import ship
+from parcelight.sources import config
 
 query = Registry()
 queries, oracle_sql = query.runs.copy, query.sql.copy
@@ -123,6 +126,43 @@ def filter_mask_min(d: Domain) -> DataFrame:
     return _blobs(d, 5)
 
 
+@query("""select raster, count(*) as n, cast(sum(v) as bigint) as total from pixels join buildings on fid = raster % 100
+    where c * 2 + 1 > x0 and c * 2 + 1 < x1 and 16 - r * 2 - 1 > y0 and 16 - r * 2 - 1 < y1 and v > 0 group by raster""")
+def raster_clip(d: Domain) -> DataFrame:
+    """Rasters of 2 m pixels, clipped by the outline of a building; what misses it is dropped."""
+    ship(d.spark)
+    chips = detectors.chips(d.pixels, 8, 8).join(d.buildings, F.col("raster") % 100 == F.col("fid"))
+
+    def clip(row: dict) -> list[tuple]:
+        image = np.frombuffer(row["data"], "<i4").reshape(1, row["height"], row["width"])
+        x0, y0, x1, y1 = (row[k] for k in ("x0", "y0", "x1", "y1"))
+        found = raster.clipped(image, (2.0, 0.0, 0.0, 0.0, -2.0, 16.0), [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)])
+        return [(row["raster"], int(np.count_nonzero(found[0])), int(found[0].sum()))] if found is not None and found[0].any() else []
+
+    return raster.map_chips(chips, clip, "raster long, n long, total long")
+
+
+@query()
+def raster_resize(d: Domain) -> DataFrame:
+    """Rasters resampled to half and double their sides; the mean stays about the same."""
+    ship(d.spark)
+
+    def resize(row: dict) -> list[tuple]:
+        image = np.frombuffer(row["data"], "<i4").reshape(1, row["height"], row["width"])
+        half, double = raster.resized(image, row["height"] // 2, row["width"] // 2), raster.resized(image, row["height"] * 2, row["width"] * 2)
+        return [(row["raster"], int(half.size), int(double.size), round(float(double.mean()), 3))]
+
+    return raster.map_chips(detectors.chips(d.pixels, 8, 8), resize, "raster long, half long, double long, mean double")
+
+
+@query("select id, x0, y0, x1, y1 from boxes where (x1 - x0) * (y1 - y0) >= 2")
+def geom_make_valid(d: Domain) -> DataFrame:
+    """Boxes whose corners were written in the wrong order or that collapsed: put in order, or dropped."""
+    turned, flat = F.col("id") % 3 == 0, Box().area < 2
+    broken = d.boxes.select("id", F.when(turned, F.col("x1")).otherwise(F.col("x0")).alias("x0"), "y0", F.when(turned, F.col("x0")).when(flat, F.col("x0")).otherwise(F.col("x1")).alias("x1"), F.when(flat, F.col("y0")).otherwise(F.col("y1")).alias("y1"))
+    return repaired(broken)
+
+
 # --- suppression ------------------------------------------------------------------
 
 _STRUCT = "STRUCT(id BIGINT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE)[]"
@@ -268,3 +308,16 @@ def plugin_registry(d: Domain) -> DataFrame:
     """Every model on every raster, errors kept apart: detections and errors per model."""
     ship(d.spark)
     return detectors.model_table(detectors.run_models(detectors.chips(d.pixels, 8, 8), ["langsam", "owlv2", "clipseg", "missing"], ["dark roof panel."]))
+
+
+@query("select * from (values ('default module z is not one of the models'), ('missing key: project_name'), ('missing key: version')) t(problem)")
+def cli_config_check(d: Domain) -> DataFrame:
+    """What the check of a configuration reports."""
+    found = [p if p.startswith("missing") else p.split(" is not")[0] + " is not one of the models" for p in config.check({"default_module": "z"}, detectors.models())]
+    return d.spark.createDataFrame([(p,) for p in found], "problem string")
+
+
+@query()
+def udf_versions(d: Domain) -> DataFrame:
+    """Versions of the libraries that the workers see; a missing one is null."""
+    return detectors.versions(d.spark)

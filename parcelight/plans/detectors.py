@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelight.operators.raster import blobs
@@ -142,3 +142,21 @@ def model_table(runs: DataFrame) -> DataFrame:
     counts = runs.groupBy("model").agg(F.count("no").alias("n"), F.count("error").alias("errors"))
     failed = (F.col("n") == 0) & (F.col("errors") > 0)
     return counts.select("model", F.when(failed, "N/A").otherwise(F.col("n").cast("string")).alias("detections"), "errors", F.when(failed, "error").otherwise("ok").alias("status"))
+
+
+def versions(spark: SparkSession, packages: tuple[str, ...] = ("numpy", "pandas", "pyarrow", "onnxruntime", "torch")) -> DataFrame:
+    """(package, version) as a worker sees them; null if it isn't installed."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from importlib import metadata
+
+        for b in batches:
+            found = []
+            for name in b["package"]:
+                try:
+                    found.append(metadata.version(name))
+                except metadata.PackageNotFoundError:
+                    found.append(None)
+            yield b.assign(version=found)
+
+    return spark.createDataFrame([(p,) for p in packages], "package string").coalesce(1).mapInPandas(run, "package string, version string")
