@@ -15,7 +15,7 @@ from parcelight.runtime import Workspace, delete, exists, folder_bytes, rename
 #: Bytes that a consolidated file should have; its rows take about ten times as much in the memory of the task that sorts them.
 TARGET_BYTES = 64 << 20
 
-#: ring: x and y of the corners in turn, from the least corner on, without the closing one; shape: whatever of the geometry isn't one plain ring, as JSON.
+#: ring: x and y of the corners in turn, from the least corner on, without the closing one; shape: as JSON, whatever of the geometry isn't one plain ring, and properties of another type than their column's.
 FEATURE_SCHEMA = "file_id long, feature_no int, tile_id string, region string, detection_id double, area_m2 double, score double, prompt string, crs string, ring array<double>, shape string"
 _ARROW = pa.schema([("file_id", pa.int64()), ("feature_no", pa.int32()), ("tile_id", pa.string()), ("region", pa.string()), ("detection_id", pa.float64()), ("area_m2", pa.float64()), ("score", pa.float64()), ("prompt", pa.string()), ("crs", pa.string()), ("ring", pa.list_(pa.float64())), ("shape", pa.string())])
 _SAME = ["region", "detection_id", "area_m2", "score", "prompt", "ring", "shape"]
@@ -31,7 +31,19 @@ def _text(value) -> str | None:
 
 def _number(value) -> float | None:
     """A JSON number by value; anything else has none."""
-    return float(value) if isinstance(value, (int, float)) and not isinstance(value, bool) else None
+    return float(value) if value is not None and _is_number(value) else None
+
+
+def _is_text(value) -> bool:
+    return value is None or isinstance(value, str)
+
+
+def _is_number(value) -> bool:
+    return value is None or isinstance(value, float) or isinstance(value, int) and not isinstance(value, bool) and abs(value) <= 1 << 53
+
+
+#: Properties that make a feature the same, and whether a value is what their column holds exactly.
+_KINDS = {"tile_id": _is_text, "region": _is_text, "prompt": _is_text, "detection_id": _is_number, "area_m2": _is_number, "score": _is_number}
 
 
 def canonical_ring(ring: list) -> list[float]:
@@ -73,7 +85,10 @@ def features_of(body: str | None) -> list[tuple]:
         f = f if isinstance(f, dict) else {}
         p = f.get("properties")
         p = p if isinstance(p, dict) else {}
-        out.append((_text(p.get("tile_id")), _text(p.get("region")), _number(p.get("detection_id")), _number(p.get("area_m2")), _number(p.get("score")), _text(p.get("prompt")), _text(p.get("crs")), *_geometry(f.get("geometry"))))
+        ring, shape = _geometry(f.get("geometry"))
+        if odd := {k: v for k, v in p.items() if k in _KINDS and not _KINDS[k](v)}:
+            shape = json.dumps([shape, odd], sort_keys=True)
+        out.append((_text(p.get("tile_id")), _text(p.get("region")), _number(p.get("detection_id")), _number(p.get("area_m2")), _number(p.get("score")), _text(p.get("prompt")), _text(p.get("crs")), ring, shape))
     return out
 
 

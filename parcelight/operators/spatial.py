@@ -30,7 +30,7 @@ def points_near_boxes(boxes: DataFrame, points: DataFrame, radius: float, within
     return met.filter(hit).select(*[met[c] for c in boxes.columns], "pid", "x", "y", distance.alias("distance"))
 
 
-def box_pairs(left: DataFrame, right: DataFrame, within: list[str] = (), grow: float = 0.0, keep: Column | None = None, cell: float = 8.0) -> DataFrame:
+def box_pairs(left: DataFrame, right: DataFrame, within: list[str] = (), grow: float = 0.0, keep: Column | None = None, cell: float = 4.0) -> DataFrame:
     """All pairs of a left and a right box whose closed boxes, grown by `grow`, touch.
 
     Columns of both sides come with the prefixes l_ and r_. A pair is owned by

@@ -54,6 +54,12 @@ def test_odd_features_are_kept(spark, ws):
     assert repeats == [(1, 1), (1, 4)]
 
 
+def test_values_of_other_types_are_other_values(spark, ws):
+    odd = [feature(score="0.5"), feature(score=None), feature(score=True), feature(tile_id=1), feature(tile_id="1"), feature(detection_id=2**60), feature(detection_id=2**60 + 1), feature(score="0.5")]
+    kept, repeats = run(spark, ws, [(1, body(*odd))])
+    assert repeats == [(1, 7)] and len(kept) == 7
+
+
 def test_no_files_and_no_features(spark, ws):
     assert run(spark, ws, []) == ([], [])
     assert run(spark, ws, [(1, body()), (2, None)]) == ([], [])
