@@ -12,6 +12,7 @@ from parcelight.operators import metrics
 from parcelight.operators.patches import donut_area, in_donut
 from parcelight.operators.spatial import box_pairs, points_near_boxes
 from parcelight.plans.domain import Domain, Registry
+from parcelight.sources.wms import extension, mime_type, sniff, with_services
 
 query = Registry()
 queries, oracle_sql = query.runs.copy, query.sql.copy
@@ -244,7 +245,7 @@ def _covered(d: Domain) -> DataFrame:
     """Centres of tiles with the services that cover them; the registry has a fixed few rows."""
     centre = d.grid.select("tile", ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"))
     inside = F.col("sx0").isNull() | (F.col("x").between(F.col("sx0"), F.col("sx1")) & F.col("y").between(F.col("sy0"), F.col("sy1")))
-    return centre.join(F.broadcast(_services(d)), inside)
+    return with_services(centre, _services(d)).filter(inside)
 
 
 @query(f"""select tile, service from grid join {_SERVICES} s(service, pref, a, b, c, e) on a is null or ((x0 + x1) / 2 between a and c and (y0 + y1) / 2 between b and e)""")
@@ -380,8 +381,6 @@ def lookup_prompt_by_geom(d: Domain) -> DataFrame:
 @query("""select n_nationkey as k, coalesce(case n_nationkey % 4 when 0 then 'image/tiff' when 1 then 'image/jpeg' when 2 then 'image/png' end, 'image/tiff') as mime,
     coalesce(case n_nationkey % 4 when 0 then '.tif' when 1 then '.jpg' when 2 then '.png' end, '.tif') as ext from nation""")
 def lookup_format_mime(d: Domain) -> DataFrame:
-    from parcelight.sources.wms import extension, mime_type
-
     key = F.element_at(F.array(*map(F.lit, ["GeoTIFF", ".jpeg", "png", "bmp"])), F.col("n_nationkey") % 4 + 1)
     return d.table("nation").select(F.col("n_nationkey").alias("k"), mime_type(key).alias("mime"), extension(mime_type(key)).alias("ext"))
 
@@ -590,8 +589,6 @@ def fn_xml(d: Domain) -> DataFrame:
 
 @query("""select n_nationkey as k, case n_nationkey % 5 when 0 then 'JPEG' when 1 then 'GeoTIFF' when 2 then 'GeoTIFF' when 3 then 'PNG' else 'unknown' end as format, n_nationkey % 5 < 4 as valid from nation""")
 def fn_magic_bytes(d: Domain) -> DataFrame:
-    from parcelight.sources.wms import sniff
-
     heads = F.array(*[F.unhex(F.lit(h)) for h in ("FFD8FFE0", "49492A00", "4D4D002A", "89504E47", "00000000")])
     kind = sniff(F.element_at(heads, F.col("n_nationkey") % 5 + 1))
     return d.table("nation").select(F.col("n_nationkey").alias("k"), kind.alias("format"), (kind.isin("JPEG", "GeoTIFF", "PNG")).alias("valid"))

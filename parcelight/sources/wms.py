@@ -65,6 +65,18 @@ def map_url(url: Column, version: Column, layer: Column, crs: Column, bbox: Box,
     return F.concat(url, F.lit("?"), F.concat_ws("&", *[F.concat(F.lit(f"{k}="), v) for k, v in parts]))
 
 
+def with_services(df: DataFrame, services: DataFrame) -> DataFrame:
+    """Each row with each service of a registry of at most 1000, which is checked; by an explode, without a join."""
+    rows = services.limit(1001).collect()
+    if len(rows) > 1000:
+        raise ValueError("a registry has at most 1000 services")
+    kinds = {f.name: f.dataType.simpleString() for f in services.schema.fields}
+    entries = [F.struct(*[F.lit(r[c]).cast(t).alias(c) for c, t in kinds.items()]) for r in rows]
+    if not entries:
+        return df.limit(0).select("*", *[F.lit(None).cast(t).alias(c) for c, t in kinds.items()])
+    return df.withColumn("_service", F.explode(F.array(*entries))).select(*df.columns, "_service.*")
+
+
 def requests(centres: DataFrame, services: DataFrame, size_m: float, fmt: str = "geotiff") -> DataFrame:
     """The request for a square around each centre (id, lon, lat) from the first service that covers it.
 
@@ -74,17 +86,12 @@ def requests(centres: DataFrame, services: DataFrame, size_m: float, fmt: str =
     """
     from parcelight.functions.utm import to_utm
 
-    rows = services.limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError("a registry has at most 1000 services")
-    registry = F.broadcast(services.sparkSession.createDataFrame(rows, SERVICE_SCHEMA))
-    epsg = F.regexp_extract("crs", r"EPSG:(\d+)", 1).try_cast("int")
-    placed = centres.join(registry).withColumn("_epsg", epsg)
+    placed = with_services(centres, services).withColumn("_epsg", F.regexp_extract("crs", r"EPSG:(\d+)", 1).try_cast("int"))
     x, y = to_utm(F.col("lon"), F.col("lat"), F.col("_epsg"))
     placed = placed.withColumns({"cx": x, "cy": y})
     covered = placed.filter("x0 is null or (cx between x0 and x1 and cy between y0 and y1)")
     keep = [c for c in centres.columns if c != "id"]
-    first = covered.groupBy("id").agg(F.min_by(F.struct(*keep, *[c for c in registry.columns], "cx", "cy"), "pref").alias("r")).select("id", "r.*")
+    first = covered.groupBy("id").agg(F.min_by(F.struct(*keep, *services.columns, "cx", "cy"), "pref").alias("r")).select("id", "r.*")
     px = (F.lit(size_m) / (F.col("resolution_cm") / 100)).cast("int")
     box = Box.of(F.col("cx"), F.col("cy"), F.col("cx"), F.col("cy")).grown(size_m / 2)
     mime = mime_type(F.lit(fmt))
