@@ -27,6 +27,8 @@ _TERMINAL = ".!?。！？"
 _CLOSERS = "\"'”’»›)]}」』）"
 _MARKER = re.compile(r"^\s*(?:\[\d+\]|\(?\d+\)|\d+[.ºna]*[.)]?º?)[\s\t]+")
 _BLANKS = " \t\r\n\x00\x0b\x0c\xa0\ufeff"
+#: A full stop after which the sentence goes on: before a small letter or a number, and in a date (3. Mai 2021).
+_INNER_STOP = re.compile(r"(?<=\w)\. (?=[0-9a-zà-ÿ])|(?<= \d)\. (?=[A-ZÀ-Þ]\w{2,} (?:19|20)\d\d)|(?<= \d\d)\. (?=[A-ZÀ-Þ]\w{2,} (?:19|20)\d\d)")
 _BLOCK = re.compile(r"\n[ \t\r]*\n")
 
 
@@ -179,8 +181,13 @@ def artificial_cut(text: str, rng: random.Random) -> str | None:
         at = text.rfind(" ", 0, at)  # before a word
     elif way < 0.25:
         at = text.rfind(",", 0, at) + 1
+    elif way < 0.33:  # after the full stop of an abbreviation
+        stops = [m.start() + 1 for m in _INNER_STOP.finditer(text)]
+        at = rng.choice(stops) if stops else at
     head = text[: max(at, 0)].rstrip()
-    if len(head) < 20 or head.rstrip(_CLOSERS)[-1:] in _TERMINAL and text[len(head) :][:1].isspace():
+    following = text[len(head) :]
+    goes_on = following.startswith(" ") and (following[1:2].islower() or following[1:2].isdigit())
+    if len(head) < 20 or head.rstrip(_CLOSERS)[-1:] in _TERMINAL and following[:1].isspace() and not goes_on:
         return None  # by chance the end of a sentence
     if text[len(head) :].lstrip(" \t\r")[:1] == "\n" and text[len(head) :].count("\n", 0, 4) > 1:
         return None  # of a block
