@@ -22,11 +22,12 @@ def same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
     return reduce(lambda a, b: a & b, (left[c].eqNullSafe(right[c]) for c in columns))
 
 
-def running_sums(ws: Workspace, df: DataFrame, group: list[str], order: list[str], weight: str, name: str) -> DataFrame:
+def running_sums(ws: Workspace, df: DataFrame, group: list[str], order: list[str | Column], weight: str, name: str) -> DataFrame:
     """df with `running` (sum of weight up to and with the row, in the order of
     `order` within `group`) and `total` (of the group).
 
-    A null group is a group; null order values come first. Rows that tie on
+    A null group is a group; null order values come first, unless an order is
+    descending. Without group columns all rows are one group. Rows that tie on
     all of `order` follow each other in no defined order, so callers make
     `order` unique within a group.
     """

@@ -10,6 +10,7 @@ from parcelight.functions.boxes import Box, affine, ring_area, ring_centroid
 from parcelight.functions.classes import power_class, status_class
 from parcelight.operators import metrics
 from parcelight.operators.patches import donut_area, in_donut
+from parcelight.operators.rangesort import running_sums
 from parcelight.operators.spatial import box_pairs, points_near_boxes
 from parcelight.plans.domain import Domain, Registry
 from parcelight.sources.wms import extension, mime_type, sniff, with_services
@@ -483,13 +484,15 @@ def topk_tiles(d: Domain) -> DataFrame:
 
 @query("select id, score, rank() over (order by score desc, id) as place from boxes order by score desc, id limit 100")
 def sort_score(d: Domain) -> DataFrame:
-    top = d.boxes.orderBy(F.desc("score"), "id").limit(100)
-    return top.select("id", "score", F.rank().over(Window.orderBy(F.desc("score"), "id")).cast("long").alias("place"))
+    """The whole sort; ids are unique, so a place is the number of rows up to it."""
+    rows = d.boxes.select("id", "score", F.lit(1).alias("one"))
+    placed = running_sums(d.ws, rows, [], [F.desc("score"), "id"], "one", "places")
+    return placed.select("id", "score", F.col("running").alias("place")).orderBy("place")
 
 
 @query("select coord_1k || '_core' as file from grid order by file limit 20")
 def sort_files(d: Domain) -> DataFrame:
-    return d.grid.select(F.concat("coord_1k", F.lit("_core")).alias("file")).orderBy("file").limit(20)
+    return d.grid.select(F.concat("coord_1k", F.lit("_core")).alias("file")).orderBy("file")
 
 
 @query("select id from boxes order by id limit 20")

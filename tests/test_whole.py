@@ -6,6 +6,8 @@ import pytest
 
 from parcelight.plans import detection_queries, source_queries, vector_queries
 
+from .conftest import DATA
+
 RUNS = {k: v for m in (vector_queries, detection_queries, source_queries) for k, v in m.queries().items()}
 
 
@@ -22,3 +24,15 @@ def test_every_supplier_is_a_building(spark, suppliers, name, key, each):
     keys = [r[0] for r in RUNS[name](spark, suppliers).select(key).collect()]
     assert sorted(set(keys)) == list(range(250))
     assert each is None or len(keys) == 250 * each
+
+
+def test_sort_score_places_every_box(spark):
+    rows = RUNS["sort_score"](spark, DATA).collect()
+    boxes = [(r.o_orderkey, r.o_totalprice) for r in spark.read.parquet(f"{DATA}/orders.parquet").select("o_orderkey", "o_totalprice").collect()]
+    assert len(boxes) > 100
+    assert [(r.id, r.score) for r in rows] == sorted(boxes, key=lambda b: (-b[1], b[0]))
+    assert [r.place for r in rows] == list(range(1, len(boxes) + 1))
+
+
+def test_sort_files_gives_every_file(spark, suppliers):
+    assert [r.file for r in RUNS["sort_files"](spark, suppliers).collect()] == [f"T{k:04d}_core" for k in range(250)]
