@@ -87,12 +87,13 @@ def sink_geojson_building(d: Domain) -> DataFrame:
 @query("""with b as (select * from boxes where tile = 3)
     select printf('B_%04d', row_number() over (order by prompt = '5-LOW', id) - 1) as id, case when prompt = '5-LOW' then 'negative_mask' else 'pv' end as type, score from b""")
 def sink_geojson_phase(d: Domain) -> DataFrame:
-    """One building's candidates, negatives numbered after the kept ones."""
+    """Each building's candidates, negatives numbered after the kept ones; a tile is a building."""
     from pyspark.sql import Window
 
-    one = d.boxes.filter("tile = 3").withColumn("geometry", _polygon(BOX))
-    number = lambda df: df.select((F.row_number().over(Window.orderBy("id")) - 1).alias("no"), "geometry", "score")
-    return geojson.building_features(number(one.filter("prompt <> '5-LOW'")), "B", number(one.filter("prompt = '5-LOW'"))).select("id", "type", "score")
+    candidates = d.boxes.withColumn("geometry", _polygon(BOX))
+    number = lambda df: df.select("tile", (F.row_number().over(Window.partitionBy("tile").orderBy("id")) - 1).alias("no"), "geometry", "score")
+    building = F.concat(F.lit("B"), F.col("tile").cast("string"))
+    return geojson.building_features(number(candidates.filter("prompt <> '5-LOW'")), building, number(candidates.filter("prompt = '5-LOW'")), ["tile"]).select("id", "type", "score")
 
 
 @query(_NUMBERED)

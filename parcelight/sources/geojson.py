@@ -113,14 +113,19 @@ def write_merged(parts: list[DataFrame], path: str) -> None:
     out.repartitionByRange("tile_id", "region").sortWithinPartitions("tile_id", "region", "detection_id").write.mode("overwrite").parquet(path)
 
 
-def building_features(kept: DataFrame, building: Column | str, negatives: DataFrame | None = None) -> DataFrame:
-    """Features of one building's detections (no, geometry, score): id `<building>_<4 digits>`, type pv or negative_mask; negatives are numbered after the kept ones."""
+def building_features(kept: DataFrame, building: Column | str, negatives: DataFrame | None = None, per: list[str] | None = None) -> DataFrame:
+    """Features of one building's detections (no, geometry, score): id `<building>_<4 digits>`, type pv or negative_mask; negatives are numbered after the kept ones.
+
+    With `per`, detections are those of many buildings, each numbered on its own.
+    """
     building = F.lit(building) if isinstance(building, str) else building
-    rows = kept.select("no", "geometry", "score", F.lit("pv").alias("type"))
+    per = per or []
+    rows = kept.select(*per, "no", "geometry", "score", F.lit("pv").alias("type"))
     if negatives is not None:
-        offset = kept.count()
-        rows = rows.unionAll(negatives.select((F.col("no") + offset).alias("no"), "geometry", "score", F.lit("negative_mask").alias("type")))
-    return rows.select(F.format_string("%s_%04d", building, "no").alias("id"), "type", "geometry", "score")
+        counts = kept.groupBy(*per).agg(F.count("*").alias("offset"))
+        moved = negatives.join(counts, per, "left") if per else negatives.crossJoin(counts)
+        rows = rows.unionAll(moved.select(*per, (F.col("no") + F.coalesce("offset", F.lit(0))).alias("no"), "geometry", "score", F.lit("negative_mask").alias("type")))
+    return rows.select(*per, F.format_string("%s_%04d", building, "no").alias("id"), "type", "geometry", "score")
 
 
 def documents(features: DataFrame, key: list[str]) -> DataFrame:

@@ -36,3 +36,18 @@ def test_sort_score_places_every_box(spark):
 
 def test_sort_files_gives_every_file(spark, suppliers):
     assert [r.file for r in RUNS["sort_files"](spark, suppliers).collect()] == [f"T{k:04d}_core" for k in range(250)]
+
+
+def test_union_features_appends_every_tile(spark):
+    keys = sorted(r[0] for r in spark.read.parquet(f"{DATA}/orders.parquet").select("o_orderkey").collect())
+    assert sorted(r.id for r in RUNS["union_features"](spark, DATA).collect()) == keys
+
+
+def test_phase_features_are_numbered_in_every_building(spark):
+    rows = RUNS["sink_geojson_phase"](spark, DATA).collect()
+    boxes = spark.read.parquet(f"{DATA}/orders.parquet").select("o_orderkey", "o_totalprice", "o_orderpriority").collect()
+    expected, numbers = [], {}
+    for low, key, score in sorted((b.o_orderpriority == "5-LOW", b.o_orderkey, b.o_totalprice) for b in boxes):
+        no = numbers[key % 100] = numbers.get(key % 100, -1) + 1
+        expected.append((f"B{key % 100}_{no:04d}", "negative_mask" if low else "pv", score))
+    assert sorted((r.id, r.type, r.score) for r in rows) == sorted(expected)
