@@ -40,15 +40,32 @@ def _profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if text:
                 end = text[-400:].rstrip(_BLANKS)
                 line = re.sub(r"[0-9]+", "9", end[end.rfind("\n") + 1 :].strip())
-            size = (len(text), len(text.encode()), xxhash.xxh64_intdigest(text) - (1 << 63)) if text else (0, 0, 0)
-            rows.append((source or "", line if len(line) <= LINE else "", *size))
-        yield pd.DataFrame(rows, columns=["s", "line", "c", "b", "same"])
+            size = (len(text), len(text.encode()), _digest(text)) if text else (0, 0, 0)
+            rows.append((source or "", line if len(line) <= LINE else "", *size, *_shorter(text or "", size[1])))
+        yield pd.DataFrame(rows, columns=["s", "line", "c", "b", "same", "lines", "cs", "bs", "sames"])
+
+
+def _digest(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) - (1 << 63)
+
+
+def _shorter(text: str, size: int) -> tuple[list, list, list, list]:
+    """The last lines as `strip_added` compares them, last first, and the characters, bytes and hash of the text before each. size: the text's bytes."""
+    lines, cs, bs, sames = [], [], [], []
+    rest = text.rstrip()
+    for _ in range(STRIPPED):
+        rest, line = _without_line(rest)
+        lines.append(line)
+        cs.append(len(rest))
+        bs.append(size - len(text[len(rest) :].encode()))
+        sames.append(_digest(rest))
+    return lines, cs, bs, sames
 
 
 def profile(ws: Workspace, documents: DataFrame, text: str, source: str) -> DataFrame:
-    """One small row per text: source, last line (digits as 9; '' if long), characters, bytes and a hash."""
+    """One small row per text: source, last line (digits as 9; '' if long), characters, bytes and a hash; the last lines with the same three figures of the text before each."""
     rows = documents.select(F.col(text).alias("text"), F.col(source).alias("source"))
-    return ws.write(rows.mapInPandas(_profiles, "s string, line string, c int, b int, same long"), "profile")
+    return ws.write(rows.mapInPandas(_profiles, "s string, line string, c int, b int, same long, lines array<string>, cs array<int>, bs array<int>, sames array<long>"), "profile")
 
 
 def added_lines(rows: DataFrame) -> list[str]:
@@ -72,33 +89,72 @@ def added_lines(rows: DataFrame) -> list[str]:
     return sorted(r.line for r in holding.filter((rare >= 0.2) & (rare * F.col("all") >= 12)).select("line").collect())
 
 
+def bodies(rows: DataFrame, added: list[str]) -> DataFrame:
+    """The rows of `profile` with the figures of the text without the lines that its source adds, if it ends with such lines."""
+    known = frozenset(added)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for r in b.itertuples():
+                n = next((i for i, line in enumerate(r.lines) if line not in known), len(r.lines))
+                out.append((r.s, r.cs[n - 1], r.bs[n - 1], r.sames[n - 1]) if n else (r.s, r.c, r.b, r.same))
+            yield pd.DataFrame(out, columns=["s", "c", "b", "same"])
+
+    return rows.mapInPandas(run, "s string, c int, b int, same long")
+
+
 def length_limits(rows: DataFrame) -> dict[str, list[tuple[str, int]]]:
-    """source -> (unit, length) at which its texts pile up, in characters ('c') or bytes ('b'), of the rows of `profile`.
+    """source -> (unit, length) at which its texts pile up, in characters ('c') or bytes ('b'), of the rows of `bodies`.
 
     Repeated texts count once. A length counts if it has at least 5 texts and 1 % of its source's, and ten
-    times as many as lengths nearby have on average. So there are at most 100 per source and unit.
+    times as many as lengths nearby have on average. So there are at most 100 per source and unit. As blanks
+    at a cut are trimmed, three lengths in a row count together too, as the last of them, where none of the
+    lengths around counts on its own; they add at most 300.
     """
     rows = rows.filter("b > 0").select("s", "c", "b", "same").distinct()
     sizes = rows.groupBy("s").agg(F.count("*").alias("size"))
     long = rows.select("s", F.explode(F.create_map(F.lit("c"), "c", F.lit("b"), "b")).alias("unit", "length"))
     counts = long.groupBy("s", "unit", "length").agg(F.count("*").alias("n")).withColumn("bucket", F.floor(F.col("length") / 100))
     near = counts.groupBy("s", "unit", "bucket").agg(F.sum("n").alias("near"))
-    peaks = counts.join(sizes, "s").filter((F.col("n") >= 5) & (F.col("n") >= 0.01 * F.col("size")))
-    peaks = peaks.join(near, ["s", "unit", "bucket"]).filter(F.col("n") * 100 >= 10 * (F.col("near") - F.col("n")))
+    ends = counts.select("s", "unit", "length", "n", "bucket", F.explode(F.array(*map(F.lit, range(3)))).alias("more")).withColumn("end", F.col("length") + F.col("more"))
+    own = F.floor(F.col("end") / 100) == F.col("bucket")
+    ends = ends.groupBy("s", "unit", "end").agg(
+        F.sum(F.when(F.col("more") == 0, F.col("n"))).alias("n"),
+        F.sum("n").alias("three"),
+        F.sum(F.when(own, F.col("n"))).alias("inside"),
+    )
+    often = lambda n: (F.col(n) >= 5) & (F.col(n) >= 0.01 * F.col("size"))
+    ends = ends.filter("n is not null").withColumn("bucket", F.floor(F.col("end") / 100)).join(sizes, "s").filter(often("three")).join(near, ["s", "unit", "bucket"])
+    alone = often("n") & (F.col("n") * 100 >= 10 * (F.col("near") - F.col("n")))
+    together = F.col("three") * 100 >= 30 * (F.col("near") - F.col("inside"))
+    found: dict[tuple[str, str], list] = {}
+    for r in ends.filter(alone | together).select("s", "unit", "end", "three", alone.alias("alone")).collect():
+        found.setdefault((r.s, r.unit), []).append((not r.alone, -r.three, r.end))
     limits: dict[str, list[tuple[str, int]]] = {}
-    for r in peaks.select("s", "unit", "length").collect():
-        limits.setdefault(r.s, []).append((r.unit, r.length))
+    for (s, unit), peaks in found.items():
+        taken: set[int] = set()
+        for other, _, end in sorted(peaks):
+            if not other or not taken.intersection(range(end - 2, end + 3)):
+                taken.add(end)
+        limits.setdefault(s, []).extend((unit, end) for end in taken)
     return {s: sorted(x) for s, x in limits.items()}
 
 
+def _without_line(text: str) -> tuple[str, str]:
+    """The text before its last line, and that line with digits as 9."""
+    head, _, line = text.rpartition("\n")
+    return head.rstrip(), re.sub(r"[0-9]+", "9", line.strip().rstrip("\x00"))
+
+
 def strip_added(text: str, added: frozenset[str]) -> str:
     """The text without what a source adds after it, and without blanks at its end."""
     text = text.rstrip()
     for _ in range(STRIPPED):
-        head, _, line = text.rpartition("\n")
-        if re.sub(r"[0-9]+", "9", line.strip().rstrip("\x00")) not in added:
+        head, line = _without_line(text)
+        if line not in added:
             break
-        text = head.rstrip()
+        text = head
     return text
 
 
@@ -199,9 +255,12 @@ def artificial_cut(text: str, rng: random.Random) -> str | None:
     return head
 
 
-def _at_limit(text: str, marks: list[tuple[str, int]] | None) -> bool:
+def _at_limit(text: str, body: str, marks: list[tuple[str, int]] | None) -> bool:
+    """Whether a text, or its body if the source adds lines after it, has a length of `marks`."""
     if not marks:
         return False
+    if body != text.rstrip():
+        text = body
     own = {"c": len(text), "b": len(text.encode())}
     # A limit in bytes may fall inside a character, and one may be reached after blanks were trimmed.
     return any(0 <= length - own[unit] <= (3 if unit == "b" else 2) for unit, length in marks)
@@ -214,10 +273,8 @@ def _examples(added: frozenset[str], limits: dict[str, list[tuple[str, int]]]):
             for key, text, source in zip(b["key"], b["text"], b["source"]):
                 if not text or not text.strip():
                     continue
-                if _at_limit(text, limits.get(source or "")):
-                    continue
                 intact = strip_added(text, added)
-                if not intact:
+                if not intact or _at_limit(text, intact, limits.get(source or "")):
                     continue
                 rng = random.Random(xxhash.xxh64_intdigest(str(key)))
                 out.append((0, features(intact, False).tolist()))
@@ -272,7 +329,7 @@ def _score(added: frozenset[str], limits: dict[str, list[tuple[str, int]]], weig
             scores = []
             for text, source in zip(b["text"], b["source"]):
                 body = strip_added(text, added) if text else ""
-                scores.append(float(weights[features(body, _at_limit(text, limits.get(source or "")))].sum()) if body.strip("\x00 \n") else -30.0)
+                scores.append(float(weights[features(body, _at_limit(text, body, limits.get(source or "")))].sum()) if body.strip("\x00 \n") else -30.0)
             yield pd.DataFrame({"key": b["key"], "source": b["source"], "margin": scores})
 
     return run
@@ -282,11 +339,12 @@ def scored(ws: Workspace, documents: DataFrame, key: str = "doc_id", text: str =
     """(key, source, margin) of every row; a margin above 0 means that its text was cut off.
 
     Null, empty and blank texts aren't cut. A null source is one source. Texts
-    are judged by their whole length and their end, without lines that the
+    are judged by their length and their end, both without lines that the
     source adds. An empty table, or one without texts to learn from, has no cuts.
     """
     rows = profile(ws, documents, text, source)
-    added, limits = added_lines(rows), length_limits(rows)
+    added = added_lines(rows)
+    limits = length_limits(bodies(rows, added))
     weights = train(documents, rows.count(), key, text, source, added, limits, sample).astype("float32")
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source"))
     kind = documents.schema[key].dataType.simpleString()
