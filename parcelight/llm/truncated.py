@@ -20,7 +20,7 @@ SAMPLE = 20_000
 WIDTH, EPOCHS = 1 << 16, 60
 #: Examples in which a feature must occur to count, and the share of artificial cuts that get a length at a limit.
 OFTEN, LIMITED = 5, 0.1
-#: Lines longer than this are never taken for lines that a source adds; a text loses at most so many of them.
+#: Lines longer than this are compared by a hash; a text loses at most so many lines that its source adds.
 LINE, STRIPPED = 80, 3
 
 _TERMINAL = ".!?。！？"
@@ -38,13 +38,19 @@ def _profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text, source in zip(b["text"], b["source"]):
             line = ""
             if text:
-                end = text[-400:].rstrip(_BLANKS)
-                line = re.sub(r"[0-9]+", "9", end[end.rfind("\n") + 1 :].strip())
+                end = text.rstrip(_BLANKS)
+                line = _line(end[end.rfind("\n") + 1 :].strip())
             size = (len(text), len(text.encode()), _digest(text)) if text else (0, 0, 0)
-            rows.append((source or "", line if len(line) <= LINE else "", *size, *_shorter(text or "", size[1])))
+            rows.append((source or "", line, *size, *_shorter(text or "", size[1])))
         yield pd.DataFrame(rows, columns=["s", "line", "c", "b", "same", "lines", "cs", "bs", "sames"])
 
 
+def _line(line: str) -> str:
+    """A line with digits as 9, by a hash if it is long."""
+    line = re.sub(r"[0-9]+", "9", line)
+    return line if len(line) <= LINE else f"#{xxhash.xxh3_128_hexdigest(line)}"
+
+
 def _digest(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
@@ -63,7 +69,7 @@ def _shorter(text: str, size: int) -> tuple[list, list, list, list]:
 
 
 def profile(ws: Workspace, documents: DataFrame, text: str, source: str) -> DataFrame:
-    """One small row per text: source, last line (digits as 9; '' if long), characters, bytes and a hash; the last lines with the same three figures of the text before each."""
+    """One small row per text: source, last line (digits as 9; a hash if long), characters, bytes and a hash; the last lines with the same three figures of the text before each."""
     rows = documents.select(F.col(text).alias("text"), F.col(source).alias("source"))
     return ws.write(rows.mapInPandas(_profiles, "s string, line string, c int, b int, same long, lines array<string>, cs array<int>, bs array<int>, sames array<long>"), "profile")
 
@@ -142,9 +148,9 @@ def length_limits(rows: DataFrame) -> dict[str, list[tuple[str, int]]]:
 
 
 def _without_line(text: str) -> tuple[str, str]:
-    """The text before its last line, and that line with digits as 9."""
+    """The text before its last line, and that line as `_line` has it."""
     head, _, line = text.rpartition("\n")
-    return head.rstrip(), re.sub(r"[0-9]+", "9", line.strip().rstrip("\x00"))
+    return head.rstrip(), _line(line.strip().rstrip("\x00"))
 
 
 def strip_added(text: str, added: frozenset[str]) -> str:
@@ -178,15 +184,23 @@ def _bucket(n: int) -> int:
     return n.bit_length()
 
 
+def _last_block(text: str) -> str:
+    """What follows the last blank line, looked for in more and more of the text from its end."""
+    size = 3000
+    while True:
+        tail, start = text[-size:], 0
+        for m in _BLOCK.finditer(tail):
+            start = m.end()
+        if start or size >= len(text):
+            return tail[start:].strip()
+        size *= 4
+
+
 def features(text: str, at_limit: bool) -> np.ndarray:
     """Places of a stripped text's features: its closing characters, last block and last words, and whether its length is a limit."""
     had_nul = text.endswith("\x00")
     text = text.rstrip("\x00").rstrip()
-    tail = text[-3000:]
-    start = 0
-    for m in _BLOCK.finditer(tail):
-        start = m.end()
-    block = tail[start:].strip()
+    block = _last_block(text)
     line = block.rpartition("\n")[2].strip()
     marked = _MARKER.match(block)
     flat = re.sub(r"\d+", "9", " ".join(block[marked.end() if marked else 0 :].split()))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import xxhash
+
 from parcelight.llm import truncated
 
 
@@ -28,3 +30,18 @@ def test_at_limit_without_an_added_line():
     added, text = frozenset(["-- copy 9 --"]), "x" * 499 + "\n\n-- copy 12 --"
     assert truncated._at_limit(text, truncated.strip_added(text, added), [("c", 500)])
     assert not truncated._at_limit(text, truncated.strip_added(text, frozenset()), [("c", 500)])
+
+
+def test_a_last_block_is_whole():
+    block = "1. " + "The panel was installed at the claimant's house. " * 200 + "It is so ordered."
+    first = xxhash.xxh32_intdigest("three The panel was") % truncated.WIDTH
+    for text in (block, "Heading\n\n" + block, "x. " * 9_000 + "\n \n" + block):
+        assert first in truncated.features(text, False)
+
+
+def test_long_lines_that_a_source_adds(spark, ws):
+    line = "This copy was made by the register of the chamber for its own files and isn't an official one: sheet {} of the register"
+    long = "This copy was made for the files. " * 20 + "Sheet {}."
+    rows = [(i, f"The court finds defect {i * 7919 % 1000} material.\n\n" + ["Clerk", (line if i % 8 else long).format(i)][i % 4 == 0], "abcd"[i % 4]) for i in range(4_000)]
+    added = frozenset(truncated.added_lines(truncated.profile(ws, spark.createDataFrame(rows, "doc_id long, text string, source string"), "text", "source")))
+    assert {truncated.strip_added(f"x.\n\n{s.format(12)}\n", added) for s in (line, long)} == {"x."}
