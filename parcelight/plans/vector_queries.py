@@ -482,14 +482,24 @@ def topk_tiles(d: Domain) -> DataFrame:
     return _areas(d).orderBy(F.desc("total_area_m2"), "tile_id").limit(5).select("tile_id", "total_area_m2")
 
 
-@query("select id, score, rank() over (order by score desc, id) as place from boxes order by score desc, id limit 100")
-def sort_score(d: Domain) -> DataFrame:
-    """The whole sort; ids are unique, so a place is the number of rows up to it."""
+def _by_score(d: Domain) -> DataFrame:
     rows = d.boxes.select("id", "score", F.lit(1).alias("one"))
     placed = running_sums(d.ws, rows, [], [F.desc("score"), "id"], "one", "places")
     return placed.select("id", "score", F.col("running").alias("place")).orderBy("place")
 
 
+@query("select id, score, rank() over (order by score desc, id) as place from boxes order by score desc, id limit 100")
+def sort_score(d: Domain) -> DataFrame:
+    """The whole sort; ids are unique, so a place is the number of rows up to it."""
+    return _by_score(d)
+
+
+@query("select id, score, row_number() over (order by score desc, id) as place from boxes")
+def sort_score_np(d: Domain) -> DataFrame:
+    """The sort whose ties numpy leaves open; here the id decides, so it is the same sort."""
+    return _by_score(d)
+
+
 @query("select coord_1k || '_core' as file from grid order by file limit 20")
 def sort_files(d: Domain) -> DataFrame:
     return d.grid.select(F.concat("coord_1k", F.lit("_core")).alias("file")).orderBy("file")

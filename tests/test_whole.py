@@ -26,8 +26,9 @@ def test_every_supplier_is_a_building(spark, suppliers, name, key, each):
     assert each is None or len(keys) == 250 * each
 
 
-def test_sort_score_places_every_box(spark):
-    rows = RUNS["sort_score"](spark, DATA).collect()
+@pytest.mark.parametrize("name", ["sort_score", "sort_score_np"])
+def test_sort_score_places_every_box(spark, name):
+    rows = RUNS[name](spark, DATA).collect()
     boxes = [(r.o_orderkey, r.o_totalprice) for r in spark.read.parquet(f"{DATA}/orders.parquet").select("o_orderkey", "o_totalprice").collect()]
     assert len(boxes) > 100
     assert [(r.id, r.score) for r in rows] == sorted(boxes, key=lambda b: (-b[1], b[0]))
