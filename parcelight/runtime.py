@@ -79,6 +79,14 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
+def stored_bytes(df: DataFrame) -> int | None:
+    """Bytes of all that a plan reads, before filters and joins; None where a source doesn't tell."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)).rstrip("b"))
+    return None if any(s >= unknown for s in sizes) else sum(sizes)
+
+
 class Workspace:
     """A folder of written tables under the shared folder.
 
