@@ -8,11 +8,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelight.runtime import ship, stored_bytes
+
 TOKENIZERS = "/opt/tokenizers"
 BYTE_BPE = "byte_bpe_50k"
 
@@ -21,8 +24,10 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 #: Bytes that the rolling hash sees, bits of it that must be zero at a cut, and the bytes after which a chunk is cut anywhere.
 WINDOW, CUT_BITS, LONGEST = 32, 5, 4096
-#: Bytes that are hashed at once, tokens of texts put together at once, bytes of text in a block, and bytes of input per bucket of chunks.
-SLICE, TOKENS, BLOCK, BUCKET = 4 << 20, 1 << 20, 1 << 18, 8 << 20
+#: Bytes that are hashed at once, tokens of texts put together at once, bytes of text in a block, bytes of stored input per task of a shuffle, and tokens of chunks that an encoding task remembers.
+SLICE, TOKENS, BLOCK, TASK, REMEMBERED = 4 << 20, 1 << 20, 1 << 18, 8 << 20, 1 << 26
+#: Most tasks of a shuffle.
+MOST_TASKS = 1 << 17
 
 _GEAR = np.array([xxhash.xxh32_intdigest(bytes([b])) for b in range(256)], dtype="uint32")
 _GRAPHIC = np.zeros(256, bool)
@@ -142,26 +147,41 @@ def _packed(*arrays: np.ndarray | bytes) -> bytes:
     return zstandard.compress(b"".join(a if isinstance(a, bytes) else a.tobytes() for a in arrays), 3)
 
 
-_BLOCKS = pa.schema([("bucket", pa.int32()), ("split", pa.int32()), ("n", pa.int32()), ("block", pa.binary())])
+def _rows(kind: pa.DataType) -> pa.Schema:
+    """Rows between the stages: a block of chunks (bucket, split, n, block) or the recipe of a text (split, key, chunks), which has no n."""
+    return pa.schema([("bucket", pa.int32()), ("split", pa.int32()), ("n", pa.int32()), ("block", pa.binary()), ("key", kind), ("chunks", pa.list_(pa.int32()))])
+
+
+def _blocks(found: list[tuple[int, int, int, bytes]], schema: pa.Schema) -> pa.RecordBatch:
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*found), schema)]
+    return pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(found), f.type) for f in list(schema)[4:])], schema=schema)
 
 
-def _texts(buckets: int, longest: int | None):
-    """Asks for each chunk of the task once: blocks of (number, digest, text) by bucket of the digest."""
+def _cut(buckets: int, longest: int | None):
+    """Asks for each chunk of the task once, in blocks of (digest, text) by bucket of the digest, and gives the recipe of each row.
+
+    A chunk's number is its place among the digests of the task, so it depends
+    on the task's rows alone, not on their order.
+    """
 
-    def block(bucket: int, split: int, chunks: list[tuple[int, bytes, bytes]]) -> dict:
-        numbers, digests, texts = zip(*chunks)
-        packed = _packed(np.array(numbers, "<i4"), np.array([len(t) for t in texts], "<i4"), b"".join(digests), b"".join(texts))
-        return {"bucket": bucket, "split": split, "n": len(chunks), "block": packed}
+    def block(bucket: int, split: int, chunks: list[tuple[int, bytes, bytes]]) -> tuple[int, int, int, bytes]:
+        _, digests, texts = zip(*chunks)
+        return bucket, split, len(chunks), _packed(np.array([len(t) for t in texts], "<i4"), b"".join(digests), b"".join(texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, cutter = 0, _Cutter(longest)
+        split, cutter, schema = 0, _Cutter(longest), None
         waiting: dict[int, list] = {}
         held: dict[int, int] = {}
+        recipes: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         for b in batches:
             if not len(b):
                 continue
             split, full = b.column(0)[0].as_py(), []
-            for _, _, _, new in cutter.cut(b.column(1)):
+            schema = schema or _rows(b.column(1).type)
+            done = 0
+            for rows, counts, numbers, new in cutter.cut(b.column(2)):
+                recipes.append((b.column(1).slice(done, rows), counts, numbers))
+                done += rows
                 for chunk in new:
                     at = int.from_bytes(chunk[1][:4], "little") % buckets
                     waiting.setdefault(at, []).append(chunk)
@@ -170,55 +190,52 @@ def _texts(buckets: int, longest: int | None):
                         full.append(block(at, split, waiting.pop(at)))
                         del held[at]
             if full:
-                yield pa.RecordBatch.from_pylist(full, _BLOCKS)
+                yield _blocks(full, schema)
         if waiting:
-            yield pa.RecordBatch.from_pylist([block(at, split, chunks) for at, chunks in waiting.items()], _BLOCKS)
-
-    return run
-
-
-def _recipes(longest: int | None):
-    """The numbers of the chunks of which each row's text consists."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = _Cutter(longest)
-        for b in batches:
-            done = 0
-            for rows, counts, numbers, _ in cutter.cut(b.column(2)):
-                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype("int32")), pa.array(numbers))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(done, rows), b.column(1).slice(done, rows), lists], ["split", "key", "chunks"])
-                done += rows
+            yield _blocks([block(at, split, chunks) for at, chunks in waiting.items()], schema)
+        ranks = np.empty(len(cutter.numbers), "int32")
+        ranks[np.argsort(np.array(list(cutter.numbers), "S16"))] = np.arange(len(ranks), dtype="int32")
+        for keys, counts, numbers in recipes:
+            n = len(keys)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype("int32")), pa.array(ranks[numbers]))
+            fixed = [pa.array(np.full(n, split % buckets, "int32")), pa.array(np.full(n, split, "int32")), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*fixed, keys, lists], schema=schema)
 
     return run
 
 
 def _encode(folder: str, name: str, count_only: bool):
-    """Encodes each chunk of a bucket once and answers every block that asked for it."""
+    """Encodes each chunk of a bucket once and answers every block that asked for it with (digest, ids); recipes pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(folder, name).encode_ordinary
         wide = _id_type(folder, name)
-        bucket, known = None, {}
+        known, held = {}, 0
         for b in batches:
+            asked = b.column(2).is_valid()
+            recipes = b.filter(pc.invert(asked))
+            if len(recipes):
+                yield recipes
             out = []
-            for at, split, n, block in zip(*(c.to_pylist() for c in b.columns)):
-                if at != bucket:
-                    bucket, known = at, {}
+            for at, split, n, block in zip(*(c.to_pylist() for c in b.filter(asked).columns[:4])):
                 raw = zstandard.decompress(block)
-                lengths = np.frombuffer(raw, "<i4", n, 4 * n)
-                ends = (np.cumsum(lengths) + 24 * n).tolist()
-                ids, start = [], 24 * n
+                ends = (np.cumsum(np.frombuffer(raw, "<i4", n)) + 20 * n).tolist()
+                digests, ids, start = raw[4 * n : 20 * n], [], 20 * n
                 for i, end in enumerate(ends):
-                    digest = raw[8 * n + 16 * i : 8 * n + 16 * (i + 1)]
+                    digest = digests[16 * i : 16 * i + 16]
                     found = known.get(digest)
                     if found is None:
                         tokens = encode(raw[start:end].decode())
+                        if held > REMEMBERED:  # what is forgotten is encoded again, with the same result
+                            known, held = {}, 0
                         found = known[digest] = len(tokens) if count_only else np.array(tokens, wide)
+                        held += 1 if count_only else len(tokens)
                     ids.append(found)
                     start = end
                 sizes = np.array(ids if count_only else [len(x) for x in ids], "<i4")
-                out.append({"bucket": at, "split": split, "n": n, "block": _packed(raw[: 4 * n], sizes, b"" if count_only else np.concatenate(ids))})
-            yield pa.RecordBatch.from_pylist(out, _BLOCKS)
+                out.append((at, split, n, _packed(sizes, digests, b"" if count_only else np.concatenate(ids))))
+            if out:
+                yield _blocks(out, b.schema)
 
     return run
 
@@ -253,16 +270,16 @@ class _Answers:
     """Token ids (or only their number) of a split's chunks, by the chunks' numbers."""
 
     def __init__(self, blocks: list[tuple[int, bytes]], wide: str):
-        numbers, sizes, tokens = [], [], []
+        sizes, digests, tokens = [], [], []
         for n, block in blocks:
             raw = zstandard.decompress(block)
-            numbers.append(np.frombuffer(raw, "<i4", n))
-            sizes.append(np.frombuffer(raw, "<i4", n, 4 * n))
-            tokens.append(np.frombuffer(raw, wide, -1, 8 * n))
-        number, size = (np.concatenate(x) if x else np.zeros(0, "int32") for x in (numbers, sizes))
+            sizes.append(np.frombuffer(raw, "<i4", n))
+            digests.append(np.frombuffer(raw, "S16", n, 4 * n))
+            tokens.append(np.frombuffer(raw, wide, -1, 20 * n))
+        size = np.concatenate(sizes).astype("int64") if sizes else np.zeros(0, "int64")
+        order = np.argsort(np.concatenate(digests)) if digests else np.zeros(0, "int64")
         self.tokens = np.concatenate(tokens) if tokens else np.zeros(0, wide)
-        self.sizes, self.starts = np.zeros(len(number), "int64"), np.zeros(len(number), "int64")
-        self.sizes[number], self.starts[number] = size, np.cumsum(size) - size
+        self.sizes, self.starts = size[order], (np.cumsum(size) - size)[order]
 
 
 def _texts_ids(answers: _Answers, counts: np.ndarray, chunks: np.ndarray, folder: str, name: str) -> pa.Array:
@@ -310,11 +327,10 @@ def _assemble(folder: str, name: str, count_only: bool):
                 offsets = np.asarray(lists.offsets)
                 chunks, counts = np.asarray(lists.flatten()), np.diff(offsets)
                 first = np.append(0, np.cumsum(counts))
+                size = np.append(0, np.cumsum(answers.sizes[chunks]))[first]
                 if count_only:
-                    summed = np.append(0, np.cumsum(answers.sizes[chunks]))[first]
-                    yield pa.RecordBatch.from_arrays([part.column(3), pa.array(np.diff(summed))], ["key", "n"])
+                    yield pa.RecordBatch.from_arrays([part.column(3), pa.array(np.diff(size))], ["key", "n"])
                     continue
-                size = np.append(0, np.cumsum(answers.sizes[chunks]))[first]
                 row = 0
                 while row < len(part):
                     end = max(row + 1, int(np.searchsorted(size, size[row] + TOKENS, "right")) - 1)
@@ -325,20 +341,22 @@ def _assemble(folder: str, name: str, count_only: bool):
     return run
 
 
+def _tasks(documents: DataFrame) -> int:
+    """Tasks of a shuffle, by the stored size of what is read."""
+    size = stored_bytes(documents)
+    least = documents.sparkSession.sparkContext.defaultParallelism
+    return least if size is None else min(MOST_TASKS, max(least, -(-size // TASK)))
+
+
 def _encoded(documents: DataFrame, key: str, text: str, folder: str, name: str, count_only: bool) -> DataFrame:
-    spark = documents.sparkSession
-    longest = None if count_only else LONGEST
-    # The number of the reading task; a union shifts the number that a task itself has.
+    ship(documents.sparkSession)
+    tasks = _tasks(documents)
     rows = documents.select(F.spark_partition_id().alias("split"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    buckets = int(min(1 << 20, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET)))
-    asked = rows.select("split", "text").mapInArrow(_texts(buckets, longest), "bucket int, split int, n int, block binary")
-    answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_encode(folder, name, count_only), "bucket int, split int, n int, block binary")
-    recipes = rows.mapInArrow(_recipes(longest), f"split int, key {kind}, chunks array<int>")
-    nothing = lambda t: F.lit(None).cast(t)
-    both = answers.select("split", "n", "block", nothing(kind).alias("key"), nothing("array<int>").alias("chunks")).unionAll(recipes.select("split", nothing("int").alias("n"), nothing("binary").alias("block"), "key", "chunks"))
-    together = both.repartition("split").sortWithinPartitions("split", F.col("n").isNull())
+    schema = f"bucket int, split int, n int, block binary, key {kind}, chunks array<int>"
+    asked = rows.mapInArrow(_cut(tasks, None if count_only else LONGEST), schema)
+    answered = asked.repartitionById(tasks, F.col("bucket")).mapInArrow(_encode(folder, name, count_only), schema).drop("bucket")
+    together = answered.repartitionById(tasks, F.col("split") % tasks).sortWithinPartitions("split", F.col("n").isNull())
     return together.mapInArrow(_assemble(folder, name, count_only), f"key {kind}, " + ("n long" if count_only else "ids array<int>")).withColumnRenamed("key", key)
 
 
@@ -348,14 +366,14 @@ def token_ids(documents: DataFrame, key: str = "doc_id", text: str = "text", fol
     A null and an empty text give an empty list. Rows with the same or a null
     key stay apart, each with its own ids.
 
-    Texts are cut into content-defined chunks. Each reading task asks for each
-    of its chunks once, in compressed blocks by the chunk's digest; where the
-    requests meet, a chunk is encoded once, wherever it occurs, and every task
-    that asked gets the ids back. So a chunk that a large part of all rows
-    share costs a request per task, not per row. The answers meet the task's
-    recipes, the chunk numbers of its rows, and joins at which the tokenizer
-    might not split are encoded again. `documents` must give its tasks the same
-    rows in the same order whenever it is read, as tables in files do.
+    Texts are read once and cut into content-defined chunks. Each reading task
+    asks for each of its chunks once, in compressed blocks by the chunk's
+    digest; where the requests meet, a chunk is encoded once, wherever it
+    occurs, and every task that asked gets the ids back. So a chunk that a
+    large part of all rows share costs a request per task, not per row. The
+    answers meet the task's recipes, the chunk numbers of its rows, and joins
+    at which the tokenizer might not split are encoded again. Any input will
+    do, also one whose rows come in another order when a lost task is repeated.
     """
     return _encoded(documents, key, text, folder, name, False)
 

@@ -20,8 +20,8 @@ SAMPLE = 20_000
 WIDTH, EPOCHS = 1 << 16, 60
 #: Examples in which a feature must occur to count, and the share of artificial cuts that get a length at a limit.
 OFTEN, LIMITED = 5, 0.1
-#: Lines longer than this are compared by a hash; a text loses at most so many lines that its source adds.
-LINE, STRIPPED = 80, 3
+#: Lines longer than this are compared by a hash, which keeps tables of lines small.
+LINE = 80
 
 _TERMINAL = ".!?。！？"
 _CLOSERS = "\"'”’»›)]}」』）"
@@ -32,17 +32,19 @@ _INNER_STOP = re.compile(r"(?<=\w)\. (?=[0-9a-zà-ÿ])|(?<= \d)\. (?=[A-ZÀ-Þ]\
 _BLOCK = re.compile(r"\n[ \t\r]*\n")
 
 
-def _profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        rows = []
-        for text, source in zip(b["text"], b["source"]):
-            line = ""
-            if text:
-                end = text.rstrip(_BLANKS)
+def _profiles(added: frozenset[str]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for text, source in zip(b["text"], b["source"]):
+                body = strip_added(text, added) if text else ""
+                end = body.rstrip(_BLANKS)
                 line = _line(end[end.rfind("\n") + 1 :].strip())
-            size = (len(text), len(text.encode()), _digest(text)) if text else (0, 0, 0)
-            rows.append((source or "", line, *size, *_shorter(text or "", size[1])))
-        yield pd.DataFrame(rows, columns=["s", "line", "c", "b", "same", "lines", "cs", "bs", "sames"])
+                whole = text if text and body == text.rstrip() else body
+                rows.append((source or "", line, len(whole), len(whole.encode()), _digest(whole)))
+            yield pd.DataFrame(rows, columns=["s", "line", "c", "b", "same"])
+
+    return run
 
 
 def _line(line: str) -> str:
@@ -55,23 +57,13 @@ def _digest(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
-def _shorter(text: str, size: int) -> tuple[list, list, list, list]:
-    """The last lines as `strip_added` compares them, last first, and the characters, bytes and hash of the text before each. size: the text's bytes."""
-    lines, cs, bs, sames = [], [], [], []
-    rest = text.rstrip()
-    for _ in range(STRIPPED):
-        rest, line = _without_line(rest)
-        lines.append(line)
-        cs.append(len(rest))
-        bs.append(size - len(text[len(rest) :].encode()))
-        sames.append(_digest(rest))
-    return lines, cs, bs, sames
-
+def profile(ws: Workspace, documents: DataFrame, text: str, source: str, added: frozenset[str] = frozenset(), name: str = "profile") -> DataFrame:
+    """One small row per text without the lines of `added` at its end: source, last line (digits as 9; a hash if long), characters, bytes and a hash.
 
-def profile(ws: Workspace, documents: DataFrame, text: str, source: str) -> DataFrame:
-    """One small row per text: source, last line (digits as 9; a hash if long), characters, bytes and a hash; the last lines with the same three figures of the text before each."""
+    A text that ends with no such line keeps the blanks at its end in these figures.
+    """
     rows = documents.select(F.col(text).alias("text"), F.col(source).alias("source"))
-    return ws.write(rows.mapInPandas(_profiles, "s string, line string, c int, b int, same long, lines array<string>, cs array<int>, bs array<int>, sames array<long>"), "profile")
+    return ws.write(rows.mapInPandas(_profiles(added), "s string, line string, c int, b int, same long"), name)
 
 
 def added_lines(rows: DataFrame) -> list[str]:
@@ -95,19 +87,21 @@ def added_lines(rows: DataFrame) -> list[str]:
     return sorted(r.line for r in holding.filter((rare >= 0.2) & (rare * F.col("all") >= 12)).select("line").collect())
 
 
-def bodies(rows: DataFrame, added: list[str]) -> DataFrame:
-    """The rows of `profile` with the figures of the text without the lines that its source adds, if it ends with such lines."""
-    known = frozenset(added)
+def bodies(ws: Workspace, documents: DataFrame, text: str, source: str) -> tuple[DataFrame, frozenset[str]]:
+    """The `profile` of all texts without the lines that their sources add, and those lines.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for r in b.itertuples():
-                n = next((i for i, line in enumerate(r.lines) if line not in known), len(r.lines))
-                out.append((r.s, r.cs[n - 1], r.bs[n - 1], r.sames[n - 1]) if n else (r.s, r.c, r.b, r.same))
-            yield pd.DataFrame(out, columns=["s", "c", "b", "same"])
-
-    return rows.mapInPandas(run, "s string, c int, b int, same long")
+    A source may add any number of lines below each other: the lines found are
+    taken off and the last lines of what is left are counted again, until no
+    more are found.
+    """
+    added, turn = frozenset(), 0
+    while True:
+        rows = profile(ws, documents, text, source, added, f"profile-{turn}")
+        found = frozenset(added_lines(rows)) - added
+        if not found:
+            return rows, added
+        added, turn = added | found, turn + 1
+        ws.drop(f"profile-{turn - 1}")
 
 
 def length_limits(rows: DataFrame) -> dict[str, list[tuple[str, int]]]:
@@ -154,9 +148,9 @@ def _without_line(text: str) -> tuple[str, str]:
 
 
 def strip_added(text: str, added: frozenset[str]) -> str:
-    """The text without what a source adds after it, and without blanks at its end."""
+    """The text without what a source adds after it, however many lines, and without blanks at its end."""
     text = text.rstrip()
-    for _ in range(STRIPPED):
+    while text:
         head, line = _without_line(text)
         if line not in added:
             break
@@ -223,13 +217,13 @@ def features(text: str, at_limit: bool) -> np.ndarray:
         f"lines {min(block.count(chr(10)), 3)} {done}",
         f"marked {bool(marked)} {done} {size}",
         f"sentences {sentences} {done} {bool(marked)}",
-        f"line {plain_line[:LINE]}",
+        f"line {plain_line}",
         f"first {words[0] if words else ''} {done}",
         f"two {' '.join(words[:2])} {done}",
         f"three {' '.join(words[:3])}",
-        f"shape {re.sub('[a-zà-ÿ]+', 'a', re.sub('[A-ZÀ-ÖØ-Þ]', 'A', last))[:8]} {done} {size > 7}",
-        f"last {last[:24]}",
-        f"last two {' '.join(words[-2:])[-40:]}",
+        f"shape {re.sub('[a-zà-ÿ]+', 'a', re.sub('[A-ZÀ-ÖØ-Þ]', 'A', last))} {done} {size > 7}",
+        f"last {last}",
+        f"last two {' '.join(words[-2:])}",
         f"end {text[-3:]}",
         f"names {all(w[:1].isupper() for w in words)} {'  ' in line} {size} {done}",
         f"limit {at_limit}",
@@ -315,7 +309,7 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = 1e-5) -> np.ndarray:
     return w
 
 
-def train(documents: DataFrame, n: int, key: str, text: str, source: str, added: list[str], limits: dict, sample: int = SAMPLE) -> np.ndarray:
+def train(documents: DataFrame, n: int, key: str, text: str, source: str, added: frozenset[str], limits: dict, sample: int = SAMPLE) -> np.ndarray:
     """Weights fitted on a bounded sample of texts and their artificial cuts.
 
     Texts at a length limit aren't taken. Two first fits, each on half of the
@@ -325,7 +319,7 @@ def train(documents: DataFrame, n: int, key: str, text: str, source: str, added:
     part = min(1.0, sample / max(n, 1))
     chosen = documents.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(part * (1 << 30)))
     rows = chosen.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source"))
-    examples = rows.mapInPandas(_examples(frozenset(added), limits), "label int, features array<int>").toPandas()
+    examples = rows.mapInPandas(_examples(added, limits), "label int, features array<int>").toPandas()
     if not len(examples) or examples["label"].nunique() < 2:
         return np.zeros(WIDTH)
     x, y = np.array(examples["features"].tolist()), examples["label"].to_numpy()
@@ -356,10 +350,9 @@ def scored(ws: Workspace, documents: DataFrame, key: str = "doc_id", text: str =
     are judged by their length and their end, both without lines that the
     source adds. An empty table, or one without texts to learn from, has no cuts.
     """
-    rows = profile(ws, documents, text, source)
-    added = added_lines(rows)
-    limits = length_limits(bodies(rows, added))
-    weights = train(documents, rows.count(), key, text, source, added, limits, sample).astype("float32")
+    profiles, added = bodies(ws, documents, text, source)
+    limits = length_limits(profiles)
+    weights = train(documents, profiles.count(), key, text, source, added, limits, sample).astype("float32")
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source"))
     kind = documents.schema[key].dataType.simpleString()
-    return rows.mapInPandas(_score(frozenset(added), limits, weights), f"key {kind}, source string, margin double").withColumnRenamed("key", key)
+    return rows.mapInPandas(_score(added, limits, weights), f"key {kind}, source string, margin double").withColumnRenamed("key", key)

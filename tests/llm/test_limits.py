@@ -45,3 +45,14 @@ def test_long_lines_that_a_source_adds(spark, ws):
     rows = [(i, f"The court finds defect {i * 7919 % 1000} material.\n\n" + ["Clerk", (line if i % 8 else long).format(i)][i % 4 == 0], "abcd"[i % 4]) for i in range(4_000)]
     added = frozenset(truncated.added_lines(truncated.profile(ws, spark.createDataFrame(rows, "doc_id long, text string, source string"), "text", "source")))
     assert {truncated.strip_added(f"x.\n\n{s.format(12)}\n", added) for s in (line, long)} == {"x."}
+
+
+def test_any_number_of_added_lines(spark, ws):
+    notes = ["This copy was made by the register of the chamber. " * 4 + "Sheet {}", "Page {}", "Register of the chamber", "No warranty", "End {} of the copy"]
+    block = "The panel was installed at the house. " * 250 + "It is so ordered."
+    rows = [(i, f"The court finds defect {i * 7919 % 1000} material.\n\n" + (block if i % 97 == 0 else ["Clerk", "Judge"][i // 4 % 2]) + ("\n\n" + "\n".join(notes).format(i, i, i) if i % 4 == 0 else ""), "abcd"[i % 4]) for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    profiles, added = truncated.bodies(ws, docs, "text", "source")
+    assert len(added) == 5
+    assert profiles.filter("s = 'a'").agg({"c": "max"}).first()[0] == max(len(t.split("\n\nThis copy")[0]) for _, t, s in rows if s == "a")
+    assert truncated.strip_added(rows[97 * 4][1], added).endswith("It is so ordered.")

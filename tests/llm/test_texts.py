@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -184,3 +185,32 @@ def test_nothing_to_learn_from(spark, ws, texts):
     df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, source string")
     assert [r.margin > 0 for r in truncated.scored(ws, df).collect()] == [False] * len(texts)
     assert truncated.scored(ws, df).select(F.max("margin")).first()[0] in (None, 0.0, -30.0)
+
+
+def _as_read(docs):
+    return sorted(((k, encode(t)) for k, t in docs), key=str)
+
+
+@pytest.mark.parametrize("form", ["repartitioned", "shuffled", "joined", "in memory"])
+def test_any_input_gives_the_ids(spark, form):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang")
+    want = _as_read([(r.doc_id, r.text) for r in docs.collect()])
+    if form == "repartitioned":
+        docs = docs.repartition(7)
+    elif form == "shuffled":
+        docs = docs.repartition(3, "lang").orderBy(F.rand(3))
+    elif form == "joined":
+        docs = docs.join(spark.range(10_000).withColumnRenamed("id", "doc_id"), "doc_id")
+    else:
+        docs = spark.createDataFrame([(r.doc_id, r.text) for r in docs.collect()], "doc_id long, text string")
+    assert sorted(((r.doc_id, r.ids) for r in tokens.token_ids(docs).collect()), key=str) == want
+    assert sorted(((r.doc_id, r.n) for r in tokens.token_counts(docs).collect()), key=str) == sorted(((k, len(ids)) for k, ids in want), key=str)
+
+
+def test_forgotten_chunks_are_encoded_again(spark, monkeypatch):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(100)
+    run = tokens._encode(tokens.TOKENIZERS, tokens.BYTE_BPE, False)
+    asked = list(tokens._cut(1, 4096)([pa.RecordBatch.from_pylist([{"split": 0, "key": r.doc_id, "text": r.text} for r in docs.collect()])]))
+    whole = [b.to_pylist() for b in run(iter(asked))]
+    monkeypatch.setattr(tokens, "REMEMBERED", 10)
+    assert [b.to_pylist() for b in run(iter(asked))] == whole
