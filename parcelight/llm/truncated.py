@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 from collections.abc import Iterator
@@ -74,17 +75,35 @@ def added_lines(rows: DataFrame) -> list[str]:
     a fifth of all texts or more, where at least 12 would be expected. Counted
     over all texts; each line makes up 0.2 % of some source's texts or more,
     so there are at most 500 per source.
+
+    Where a source adds lines, its formulas aren't last. So the lines that the
+    fewest texts' sources use are judged first, and texts that end with one
+    found are left out when the others are judged.
     """
     counts = rows.groupBy("s", "line").agg(F.count("*").alias("n"))
-    sizes = rows.groupBy("s").agg(F.count("*").alias("size"))
-    total = rows.count() or 1
-    used = counts.filter("line <> ''").join(sizes, "s")
+    sizes = {r.s: r.n for r in counts.groupBy("s").agg(F.sum("n").alias("n")).collect()}
+    total = sum(sizes.values())
+    used = counts.filter("line <> ''").join(rows.groupBy("s").agg(F.count("*").alias("size")), "s")
     lines = used.groupBy("line").agg(F.sum("n").alias("all"), F.max(F.col("n") / F.col("size")).alias("share"))
-    known = used.join(lines.filter("all >= 12 and share >= 0.002"), "line")
-    often = known.filter(F.col("n") / F.col("size") > 0.1 * F.col("all") / total)
-    holding = often.groupBy("line").agg(F.sum("size").alias("held"), F.first("all").alias("all"))
-    rare = 1 - F.col("held") / total
-    return sorted(r.line for r in holding.filter((rare >= 0.2) & (rare * F.col("all") >= 12)).select("line").collect())
+    known: dict[str, dict[str, int]] = {}
+    for r in used.join(lines.filter("all >= 12 and share >= 0.002"), "line").select("s", "line", "n").collect():
+        known.setdefault(r.line, {})[r.s] = r.n
+
+    def held(line: str, sizes: dict[str, int], total: int) -> float:
+        """The share of the texts whose sources use the line often."""
+        everywhere = sum(known[line].values()) / total
+        return sum(sizes[s] for s, n in known[line].items() if n > 0.1 * everywhere * sizes[s]) / total
+
+    found = []
+    for _, group in itertools.groupby(sorted((held(line, sizes, total), line) for line in known), lambda x: x[0]):
+        new = [line for _, line in group if (rare := 1 - held(line, sizes, total)) >= 0.2 and rare * sum(known[line].values()) >= 12]
+        found += new
+        for line in new:
+            for s, n in known[line].items():
+                sizes[s], total = sizes[s] - n, total - n
+        if not total:
+            break
+    return sorted(found)
 
 
 def bodies(ws: Workspace, documents: DataFrame, text: str, source: str) -> tuple[DataFrame, frozenset[str]]:
