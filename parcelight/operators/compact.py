@@ -7,18 +7,21 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parcelight.runtime import Workspace, delete, exists, folder_bytes, rename
+from parcelight.runtime import Workspace, delete, exists, rename
 
-#: Bytes that a consolidated file should have; its rows take about ten times as much in the memory of the task that sorts them.
-TARGET_BYTES = 64 << 20
+#: Bytes in memory of the rows of a consolidated file; on disk it has about a fifth of them.
+TARGET_BYTES = 128 << 20
+#: A group of copies is salted if it has more than one in so many rows; so there are fewer such groups than this.
+HOT_SHARE = 1_000
 
-#: ring: x and y of the corners in turn, from the least corner on, without the closing one; shape: as JSON, whatever of the geometry isn't one plain ring, and properties of another type than their column's.
-FEATURE_SCHEMA = "file_id long, feature_no int, tile_id string, region string, detection_id double, area_m2 double, score double, prompt string, crs string, ring array<double>, shape string"
-_ARROW = pa.schema([("file_id", pa.int64()), ("feature_no", pa.int32()), ("tile_id", pa.string()), ("region", pa.string()), ("detection_id", pa.float64()), ("area_m2", pa.float64()), ("score", pa.float64()), ("prompt", pa.string()), ("crs", pa.string()), ("ring", pa.list_(pa.float64())), ("shape", pa.string())])
-_SAME = ["region", "detection_id", "area_m2", "score", "prompt", "ring", "shape"]
+#: ring: x and y of the corners in turn, from the least corner on, without the closing one; shape: as JSON, whatever of the geometry isn't one plain ring, and properties of another type than their column's; rest: as JSON, all other members of the feature, its properties and its geometry.
+FEATURE_SCHEMA = "file_id long, feature_no int, tile_id string, region string, detection_id double, area_m2 double, score double, prompt string, crs string, ring array<double>, shape string, rest string"
+_ARROW = pa.schema([("file_id", pa.int64()), ("feature_no", pa.int32()), ("tile_id", pa.string()), ("region", pa.string()), ("detection_id", pa.float64()), ("area_m2", pa.float64()), ("score", pa.float64()), ("prompt", pa.string()), ("crs", pa.string()), ("ring", pa.list_(pa.float64())), ("shape", pa.string()), ("rest", pa.string())])
+_SAME = ["tile_id", "region", "detection_id", "area_m2", "score", "prompt", "ring", "shape"]
+_COLUMNS = [f.split()[0] for f in FEATURE_SCHEMA.split(", ")]
 
 
 def _no_constant(name: str):
@@ -68,30 +71,48 @@ def _geometry(g) -> tuple[list[float] | None, str | None]:
 
 
 def features_of(body: str | None) -> list[tuple]:
-    """(tile_id, region, detection_id, area_m2, score, prompt, crs, ring, shape) of each feature of a body, in order.
+    """(tile_id, region, detection_id, area_m2, score, prompt, crs, ring, shape, rest) of each feature of a body, in order.
 
     A null, empty or incomplete body, one with anything after its document and
     one that isn't an object with a list of features hold none. A feature that
-    isn't an object counts as one without properties and geometry.
+    isn't an object counts as one without properties and geometry; it is kept
+    in `rest`.
     """
     if not body:
         return []
     try:
-        features = json.loads(body.removeprefix("﻿"), parse_constant=_no_constant)["features"]
+        features = json.loads(body.removeprefix("\ufeff"), parse_constant=_no_constant)["features"]
     except (ValueError, TypeError, KeyError, RecursionError):
         return []
     out = []
-    for f in features if isinstance(features, list) else []:
-        f = f if isinstance(f, dict) else {}
+    for feature in features if isinstance(features, list) else []:
+        f = feature if isinstance(feature, dict) else {}
         p = f.get("properties")
-        p = p if isinstance(p, dict) else {}
         ring, shape = _geometry(f.get("geometry"))
+        rest = _rest(feature, f, p, ring)
+        p = p if isinstance(p, dict) else {}
         if odd := {k: v for k, v in p.items() if k in _KINDS and not _KINDS[k](v)}:
             shape = json.dumps([shape, odd], sort_keys=True)
-        out.append((_text(p.get("tile_id")), _text(p.get("region")), _number(p.get("detection_id")), _number(p.get("area_m2")), _number(p.get("score")), _text(p.get("prompt")), _text(p.get("crs")), ring, shape))
+        out.append((_text(p.get("tile_id")), _text(p.get("region")), _number(p.get("detection_id")), _number(p.get("area_m2")), _number(p.get("score")), _text(p.get("prompt")), _text(p.get("crs")), ring, shape, rest))
     return out
 
 
+def _rest(feature, f: dict, p, ring: list[float] | None) -> str | None:
+    """What no other column holds, as JSON: members of the feature, of its properties and of its plain geometry; null if there is nothing."""
+    rest = {k: v for k, v in f.items() if k not in ("type", "properties", "geometry")}
+    if f is not feature:
+        rest["feature"] = feature
+    if isinstance(p, dict):
+        more = {k: v for k, v in p.items() if k not in _KINDS and (k != "crs" or not _is_text(v))}
+    else:
+        more = p
+    if more:
+        rest["properties"] = more
+    if ring is not None and (more := {k: v for k, v in f["geometry"].items() if k not in ("type", "coordinates")}):
+        rest["geometry"] = more
+    return json.dumps(rest, sort_keys=True, ensure_ascii=False) if rest else None
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         columns: list[list] = [[] for _ in _ARROW]
@@ -108,43 +129,72 @@ class CountMismatch(RuntimeError):
 
 def compact(ws: Workspace, files: DataFrame, target: str, target_bytes: int = TARGET_BYTES) -> tuple[DataFrame, DataFrame]:
     """Writes every feature of every readable body of `files` (file_id, body)
-    exactly once to `target`, in files of about `target_bytes`, sorted by
-    (tile_id, region); returns (features kept, repeats left out).
+    exactly once to `target`, in files whose rows take about `target_bytes` of
+    memory, sorted by (tile_id, region), and the repeats beside it to
+    `<target>.repeats`; returns (features kept, repeats left out).
 
     Each body is parsed once into a loaded table. That is range-partitioned on
     the clustering keys with sampled boundaries. The keys go on after (tile_id,
-    region), so a hot tile spans many files, and equal features always meet in
-    one partition, where all but the first (smallest file_id, feature_no) are
-    marked. Marked and kept rows are written to a staging folder. Only if their
-    numbers add up to what was loaded, in all and per file, does the staging
-    folder take the place of `target`; else CountMismatch is raised and
-    `target` stays as it was.
+    region) with the feature's content, so a hot tile spans many files, and
+    equal features meet in one partition, where all but the first (smallest
+    file_id, feature_no) are marked. A feature of which there are very many
+    copies is salted; its first copy comes from a pre-aggregated count of all
+    features. Kept and marked rows are written to a staging folder. Only if
+    their numbers add up to what was loaded, in all and per file, does the
+    staging folder take the place of `target`; else CountMismatch is raised and
+    `target` stays as it was. If a run is stopped while folders are swapped, the
+    whole result lies in `<target>.swap`, and the next run moves it first.
 
     Features are the same if tile_id, region, detection_id, area_m2, score and
-    prompt (null equals null) and the rings from whichever corner agree. No
-    files, no readable body: an empty table is written.
+    prompt (null equals null) and the rings from whichever corner agree; of
+    these the first is kept with all its other members in `rest`. No files, no
+    readable body: empty tables are written.
     """
     spark = ws.spark
-    loaded = ws.write(files.select(F.col("file_id").cast("long"), "body").mapInArrow(_parse, FEATURE_SCHEMA), "loaded")
-    parts = max(1, math.ceil(folder_bytes(spark, ws.path("loaded")) / target_bytes))
-    ranged = loaded.withColumn("same", F.xxhash64(*_SAME)).repartitionByRange(parts, "tile_id", "region", "same")
-    copies = Window.partitionBy("tile_id", "region", "same", *_SAME[1:]).orderBy("file_id", "feature_no")
-    marked = ranged.withColumn("repeated", F.row_number().over(copies) > 1).drop("same")
+    swap(spark, target)
+    text = lambda c: F.coalesce(F.octet_length(c), F.lit(0))
+    size = F.lit(150) + 8 * F.coalesce(F.size("ring"), F.lit(0)) + text("shape") + text("rest") + text("prompt")
+    parsed = files.select(F.col("file_id").cast("long"), "body").mapInArrow(_parse, FEATURE_SCHEMA).withColumn("same", F.md5(F.to_json(F.struct(*_SAME))))
+    loaded, rows, size = ws.write_summing(parsed, "loaded", F.lit(1), size)
+    parts = max(1, math.ceil(size / target_bytes))
+    first = F.min(F.struct("file_id", "feature_no"))
+    hot = loaded.groupBy("same").agg(F.count("*").alias("n"), first.alias("first")).filter(F.col("n") > max(2, rows // HOT_SHARE)).collect() if rows else []
+    keys, is_hot, is_first = ["tile_id", "region", "same"], F.lit(False), F.lit(False)
+    if hot:  # fewer than HOT_SHARE
+        is_hot = F.col("same").isin([r.same for r in hot])
+        is_first = F.concat_ws(" ", "same", "file_id", "feature_no").isin([f"{r.same} {r.first.file_id} {r.first.feature_no}" for r in hot])
+        keys.append("salt")
+        loaded = loaded.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("file_id", "feature_no"), F.lit(parts))).otherwise(0))
+    copies = Window.partitionBy(*keys).orderBy("file_id", "feature_no")
+    marked = loaded.repartitionByRange(parts, *keys).withColumn("repeated", F.when(is_hot, ~is_first).otherwise(F.row_number().over(copies) > 1))
     staging = f"{target}.staging"
     delete(spark, staging)
-    ordered = marked.sortWithinPartitions("repeated", "tile_id", "region", "file_id", "feature_no")
+    ordered = marked.select(*_COLUMNS, "repeated").sortWithinPartitions("repeated", "tile_id", "region", "file_id", "feature_no")
     ordered.write.mode("overwrite").partitionBy("repeated").parquet(staging)
-    written = spark.read.schema(f"{FEATURE_SCHEMA}, repeated boolean").parquet(staging)
-    reconcile(loaded, written)
-    old = f"{target}.old"
-    delete(spark, old)
-    if exists(spark, target):
-        rename(spark, target, old)
-    rename(spark, staging, target)
-    delete(spark, old)
+    reconcile(loaded, spark.read.schema(f"{FEATURE_SCHEMA}, repeated boolean").parquet(staging))
+    for part in ("false", "true"):  # no such row, no folder of them yet
+        if not exists(spark, f"{staging}/repeated={part}"):
+            spark.createDataFrame([], FEATURE_SCHEMA).write.parquet(f"{staging}/repeated={part}")
+    rename(spark, staging, f"{target}.swap")
+    swap(spark, target)
     ws.drop("loaded")
-    table = spark.read.schema(f"{FEATURE_SCHEMA}, repeated boolean").parquet(target)
-    return table.filter("not repeated").drop("repeated"), table.filter("repeated").drop("repeated")
+    table = lambda folder: spark.read.schema(FEATURE_SCHEMA).parquet(folder)
+    return table(target), table(f"{target}.repeats")
+
+
+def swap(spark: SparkSession, target: str) -> None:
+    """Moves what lies in `<target>.swap`, a whole and reconciled result, into place; may be stopped anywhere and begun again."""
+    if not exists(spark, f"{target}.swap"):
+        return
+    for part, folder in (("false", target), ("true", f"{target}.repeats")):
+        new, old = f"{target}.swap/repeated={part}", f"{folder}.old"
+        if exists(spark, new):
+            if exists(spark, folder):
+                delete(spark, old)
+                rename(spark, folder, old)
+            rename(spark, new, folder)
+        delete(spark, old)
+    delete(spark, f"{target}.swap")
 
 
 def reconcile(loaded: DataFrame, written: DataFrame) -> None:

@@ -31,8 +31,8 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The consolidated features, each once."""
-    return _consolidated(spark, sf_dir)[0]
+    """The consolidated features, each once, as the target folder holds them."""
+    return _consolidated(spark, sf_dir)[0].drop("ring", "shape")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_SQL}
+    return {"p2_found": P2_SQL, "p3_found": P3_SQL, "p3_consolidated": P3_KEPT_SQL}
 
 
 #: All pairs within one distance, by grid cells of that size.
@@ -70,3 +70,21 @@ with n as (
 select c.id as id_a, r.id as id_b from c join r using (cx, cy)
 where c.id < r.id and (c.x - r.x) * (c.x - r.x) + (c.y - r.y) * (c.y - r.y) <= 100
 """
+
+
+#: Features by the definition of sameness, over parsed documents.
+_P3_FEATURES = """
+with f as (
+  select file_id, unnest(json_extract(body, '$.features[*]')) as f, generate_subscripts(json_extract(body, '$.features[*]'), 1) as n from mask_files where json_valid(body)
+), p as (
+  select file_id, cast(n - 1 as int) as feature_no, f ->> '$.properties.tile_id' as tile_id, f ->> '$.properties.region' as region, cast(f ->> '$.properties.detection_id' as double) as detection_id,
+    cast(f ->> '$.properties.area_m2' as double) as area_m2, cast(f ->> '$.properties.score' as double) as score, f ->> '$.properties.prompt' as prompt, f ->> '$.properties.crs' as crs,
+    cast(f -> '$.geometry.coordinates[0]' as double[][])[:-2] as corners from f
+), k as (
+  select *, list_position(corners, list_min(corners)) as k from p
+), r as (
+  select *, row_number() over (partition by tile_id, region, detection_id, area_m2, score, prompt, corners[k:] || corners[:k - 1] order by file_id, feature_no) as place from k
+)
+"""
+P3_SQL = _P3_FEATURES + "select file_id, feature_no from r where place > 1"
+P3_KEPT_SQL = _P3_FEATURES + "select file_id, feature_no, tile_id, region, detection_id, area_m2, score, prompt, crs, cast(null as varchar) as rest from r where place = 1"

@@ -23,6 +23,7 @@ def body(*features):
 def run(spark, ws, files):
     df = spark.createDataFrame([(i, b, "x", True) for i, b in files], "file_id long, body string, same string, repeated boolean")
     kept, repeats = compact.compact(ws, df, ws.path("target"))
+    assert spark.read.parquet(ws.path("target")).count() == kept.count()  # the folder holds each feature once
     return sorted((r.file_id, r.feature_no) for r in kept.collect()), sorted((r.file_id, r.feature_no) for r in repeats.collect())
 
 
@@ -67,7 +68,7 @@ def test_no_files_and_no_features(spark, ws):
 
 def test_files_have_about_the_target_size(spark, ws):
     files = spark.createDataFrame([(i, body(*[feature(area_m2=i + k / 100, tile_id="hot" if i % 3 else f"t{i}") for k in range(50)])) for i in range(60)], "file_id long, body string")
-    kept, repeats = compact.compact(ws, files, ws.path("sized"), target_bytes=20_000)
+    kept, repeats = compact.compact(ws, files, ws.path("sized"), target_bytes=100_000)
     names = [r[0] for r in kept.select("_metadata.file_name").distinct().collect()]
     assert kept.count() == 3000 and repeats.count() == 0
     assert 2 <= len(names) <= 12
@@ -92,3 +93,49 @@ def test_reconcile(spark):
         compact.reconcile(rows, rows.limit(2))
     with pytest.raises(compact.CountMismatch):  # as many rows, but of other files
         compact.reconcile(rows, spark.createDataFrame([(1,), (2,), (2,)], "file_id long"))
+
+
+def test_all_members_are_kept(spark, ws):
+    odd = feature(colour="red", crs={"name": "x"}) | {"id": 7, "bbox": [0, 0, 2, 1.5]}
+    odd["geometry"]["note"] = "n"
+    plain = feature()
+    kept, _ = compact.compact(ws, spark.createDataFrame([(1, body(odd, feature(detection_id=3), 5))], "file_id long, body string"), ws.path("whole"))
+    rest = {r.feature_no: r.rest and json.loads(r.rest) for r in kept.collect()}
+    assert rest == {0: {"id": 7, "bbox": [0, 0, 2, 1.5], "properties": {"colour": "red", "crs": {"name": "x"}}, "geometry": {"note": "n"}}, 1: None, 2: {"feature": 5}}
+    kept, repeats = run(spark, ws, [(1, body(odd)), (2, body(plain))])  # other members don't make another feature
+    assert (kept, repeats) == ([(1, 0)], [(2, 0)])
+
+
+def test_a_stop_between_the_renames(spark, ws, monkeypatch):
+    target = ws.path("stopped")
+    files = lambda *ids: spark.createDataFrame([(i, body(feature(score=i / 10), feature(score=i / 10))) for i in ids], "file_id long, body string")
+    compact.compact(ws, files(1), target)
+    real, calls = compact.rename, []
+
+    for stop in (2, 3, 4, 5):
+        calls.clear()
+
+        def stopping(spark, a, b):
+            calls.append(b)
+            if len(calls) == stop:
+                raise KeyboardInterrupt
+            real(spark, a, b)
+
+        monkeypatch.setattr(compact, "rename", stopping)
+        with pytest.raises(KeyboardInterrupt):
+            compact.compact(ws, files(2, 3), target)
+        monkeypatch.setattr(compact, "rename", real)
+        compact.swap(spark, target)
+        assert sorted(r.file_id for r in spark.read.parquet(target).collect()) == [2, 3]
+        assert sorted(r.file_id for r in spark.read.parquet(f"{target}.repeats").collect()) == [2, 3]
+        assert not any(exists(spark, target + s) for s in (".old", ".swap", ".staging", ".repeats.old"))
+        compact.compact(ws, files(1), target)
+
+
+def test_a_third_of_all_rows_are_copies(spark, ws):
+    files = [(i, body(feature(), *[feature(area_m2=i + k / 8) for k in range(2)])) for i in range(5, 900)] + [(4, body(feature(TURNED)))]
+    df = spark.createDataFrame(files, "file_id long, body string")
+    kept, repeats = compact.compact(ws, df, ws.path("copies"), target_bytes=60_000)
+    assert [(r.file_id, r.feature_no) for r in kept.filter("area_m2 = 3.0").collect()] == [(4, 0)]
+    assert kept.count() == 1 + 2 * 895 and repeats.count() == 895
+    assert repeats.select("_metadata.file_name").distinct().count() > 1
