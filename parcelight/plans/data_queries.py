@@ -40,13 +40,18 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.field_changes(Workspace(spark, "p6"), read_table(spark, sf_dir, "model_exports"))
 
 
+def p6_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same changes with their series and run, in order."""
+    return drift.change_log(Workspace(spark, "p6"), read_table(spark, sf_dir, "model_exports"))
+
+
 def p6_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All readable records as one table with one set of columns."""
     return drift.unify(Workspace(spark, "p6"), read_table(spark, sf_dir, "model_exports"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p3_found": p3_found, "p3_consolidated": p3_consolidated, "p6_found": p6_found, "p6_table": p6_table}
+    return {"p2_found": p2_found, "p3_found": p3_found, "p3_consolidated": p3_consolidated, "p6_found": p6_found, "p6_log": p6_log, "p6_table": p6_table}
 
 
 def oracle_sql() -> dict[str, str]:

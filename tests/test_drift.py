@@ -93,6 +93,16 @@ def test_families_refuse_fields_that_stand_side_by_side():
 
 
 def test_promotion(spark):
-    rows = [(["number"], "number"), (["number", "string"], "string"), (["array", "object"], "string"), (["boolean", "number"], "string")]
-    got = spark.createDataFrame(rows, "t array<string>, want string").select(drift.promote(F.col("t")).alias("got"), "want").collect()
-    assert all(r.got == r.want for r in got)
+    rows = [(["number"], "number"), (["number", "string"], "string"), (["array", "object"], "string"), (["boolean", "number"], "string"), (["object"], "object")]
+    bit = F.create_map(*[F.lit(x) for kv in drift.TYPES.items() for x in kv])[F.col("t")]
+    df = spark.createDataFrame([(i, t, want) for i, (types, want) in enumerate(rows) for t in types * 2], "i int, t string, want string")
+    folded = df.groupBy("i", "want").agg(drift.promote(bit).alias("types"))
+    assert [(r.got, r.want) for r in folded.select(drift.named(F.col("types")).alias("got"), "want").collect() if r.got != r.want] == []
+    assert folded.agg(drift.promote("types").alias("all")).first()["all"] == sum(drift.TYPES.values())
+
+
+def test_the_log_is_ordered(spark, ws):
+    a = exports(spark, *[[{"detection_id": 1, f"f{i}": i, f"g{i % 2}": "x"}] for i in range(5)], building="B")
+    b = exports(spark, *[[{"detection_id": 1, f"f{i}": i}] for i in range(5)], building="A").withColumn("export_id", F.col("export_id") + 100)
+    log = [tuple(r) for r in drift.change_log(ws, a.unionAll(b)).collect()]
+    assert log == sorted(log) and {r[0] for r in log} == {"A", "B"} and len(log) == 4 * 3 + 4 * 2
