@@ -39,8 +39,8 @@ def _profiles(added: frozenset[str]):
             rows = []
             for text, source in zip(b["text"], b["source"]):
                 body = strip_added(text, added) if text else ""
-                end = body.rstrip(_BLANKS)
-                line = _line(end[end.rfind("\n") + 1 :].strip())
+                above, _, line = body.rstrip(_BLANKS).rpartition("\n")
+                line = "" if _ends_sentence(above, line) else _line(line.strip())
                 whole = text if text and body == text.rstrip() else body
                 rows.append((source or "", line, len(whole), len(whole.encode()), _digest(whole)))
             yield pd.DataFrame(rows, columns=["s", "line", "c", "b", "same"])
@@ -58,6 +58,15 @@ def _digest(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
+def _ends_sentence(above: str, line: str) -> bool:
+    """Whether a last line with digits ends a sentence of the line directly above, as where lines are wrapped.
+
+    Such an end says nothing of its source, as all digits count as the same.
+    """
+    above = above.rstrip(" \t\r")
+    return line.rstrip()[-1:] in _TERMINAL and bool(re.search("[0-9]", line)) and above[-1:] not in ("", "\n") and above.rstrip(_CLOSERS)[-1:] not in _TERMINAL
+
+
 def profile(ws: Workspace, documents: DataFrame, text: str, source: str, added: frozenset[str] = frozenset(), name: str = "profile") -> DataFrame:
     """One small row per text without the lines of `added` at its end: source, last line (digits as 9; a hash if long), characters, bytes and a hash.
 
@@ -77,8 +86,8 @@ def added_lines(rows: DataFrame) -> list[str]:
     so there are at most 500 per source.
 
     Where a source adds lines, its formulas aren't last. So the lines that the
-    fewest texts' sources use are judged first, and texts that end with one
-    found are left out when the others are judged.
+    fewest texts' sources use are judged first, and the others are judged once
+    more without the texts that end with one found.
     """
     counts = rows.groupBy("s", "line").agg(F.count("*").alias("n"))
     sizes = {r.s: r.n for r in counts.groupBy("s").agg(F.sum("n").alias("n")).collect()}
@@ -94,9 +103,13 @@ def added_lines(rows: DataFrame) -> list[str]:
         everywhere = sum(known[line].values()) / total
         return sum(sizes[s] for s, n in known[line].items() if n > 0.1 * everywhere * sizes[s]) / total
 
+    def special(line: str) -> bool:
+        rare = 1 - held(line, sizes, total)
+        return rare >= 0.2 and rare * sum(known[line].values()) >= 12
+
     found = []
-    for _, group in itertools.groupby(sorted((held(line, sizes, total), line) for line in known), lambda x: x[0]):
-        new = [line for _, line in group if (rare := 1 - held(line, sizes, total)) >= 0.2 and rare * sum(known[line].values()) >= 12]
+    for _, group in itertools.groupby(sorted((held(line, sizes, total), line) for line in known if special(line)), lambda x: x[0]):
+        new = [line for _, line in group if special(line)]
         found += new
         for line in new:
             for s, n in known[line].items():
