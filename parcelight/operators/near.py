@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import math
+from bisect import bisect_left, bisect_right
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,10 +16,12 @@ from pyspark.sql import types as T
 from parcelight.functions.points import located, point_texts
 from parcelight.runtime import Workspace
 
-#: Points that one cell should hold, and the most strips or cells of a strip that are planned (their bounds go to every task: 8 bytes each).
-CELL_POINTS, MOST_CUTS = 20_000, 4_096
-#: Candidate pairs that the sweep holds at once.
-CHUNK = 1 << 20
+#: Points that one cell should hold. The bounds of all cells go to every task: 8 bytes for so many points.
+CELL_POINTS = 20_000
+#: Pairs that the sweep gives at once.
+CHUNK = 1 << 16
+#: Most tasks of the sweep.
+MOST_TASKS = 1 << 16
 
 
 def locations(df: DataFrame, id_col: str = "id", geometry: str = "geometry", loaded: str = "loaded_at") -> DataFrame:
@@ -43,33 +46,40 @@ def _cuts(values: list[float], apart: float) -> np.ndarray:
     return np.array(kept, dtype="float64")
 
 
-def plan_cells(points: DataFrame, radius: float, cell_points: int = CELL_POINTS) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-    """Bounds of the strips in y and, for strips that hold too many points, bounds in x.
+def plan_cells(points: DataFrame, radius: float, cell_points: int = CELL_POINTS) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Bounds of the strips in y and, for each strip, bounds in x.
 
     Bounds are sampled quantiles, at least 2 radii apart, so that a point and
-    its overlap touch at most two strips and two cells of each. What is still
-    crowded after both cuts lies within a few radii and has to come out as pairs.
+    its overlap touch at most two strips and two cells of each. There are as
+    many strips as cells of a strip, about, so their number grows as the root
+    of the points' and no cell grows with the data. What is still crowded after
+    both cuts lies within a few radii and has to come out as pairs.
     """
     n = points.count()
-    strips = min(MOST_CUTS, -(-n // cell_points)) if n else 1
-    if strips <= 1:
-        return np.array([]), {}
+    cells = -(-n // cell_points)
+    if cells <= 1:
+        return np.array([]), [np.array([])]
+    strips = int(np.ceil(np.sqrt(cells)))
     y_cuts = _cuts(points.stat.approxQuantile("y", [i / strips for i in range(1, strips)], 0.1 / strips), 2 * radius)
-    stripped = Bucketizer(splits=[-math.inf, *map(float, y_cuts), math.inf], inputCol="y", outputCol="strip").transform(points)
-    heavy = stripped.groupBy(F.col("strip").cast("int").alias("strip")).agg(F.count("*").alias("n"), F.percentile_approx("x", [i / 64 for i in range(1, 64)], 1_000).alias("q")).filter(F.col("n") > 2 * cell_points)
-    x_cuts = {}
-    for row in heavy.collect():  # at most one row of 63 numbers per strip
-        k = min(63, -(-row.n // cell_points) - 1)
-        x_cuts[row.strip] = _cuts([row.q[round((i + 1) * 63 / (k + 1)) - 1] for i in range(k)], 2 * radius)
+    stripped = Bucketizer(splits=[-np.inf, *map(float, y_cuts), np.inf], inputCol="y", outputCol="strip").transform(points).select("x", F.col("strip").cast("int").alias("strip"))
+    counts = {r.strip: r.n for r in stripped.groupBy("strip").agg(F.count("*").alias("n")).collect()}
+    steps = max(-(-n // cell_points) for n in counts.values())
+    x_cuts = [np.array([])] * (len(y_cuts) + 1)
+    if steps > 1:
+        quantiles = F.percentile_approx("x", [i / steps for i in range(1, steps)], 10 * steps)
+        for row in stripped.groupBy("strip").agg(quantiles.alias("q")).collect():  # a number per cell
+            k = -(-counts[row.strip] // cell_points)
+            x_cuts[row.strip] = _cuts([row.q[max(0, round(i * steps / k) - 1)] for i in range(1, k)], 2 * radius)
     return y_cuts, x_cuts
 
 
-def _spread(y_cuts: np.ndarray, x_cuts: dict[int, np.ndarray], radius: float):
-    """Gives each point to every cell in which a pair of it can be owned.
+def _spread(y_cuts: np.ndarray, x_cuts: list[np.ndarray], radius: float):
+    """Gives each point to every cell in which a pair of it can be owned. Cells are numbered by strip, then by x.
 
     The owner of a pair is the cell of (least x, least y) of the two points;
     both lie within one radius above that in either direction.
     """
+    first = np.cumsum([0] + [len(c) + 1 for c in x_cuts])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -80,80 +90,85 @@ def _spread(y_cuts: np.ndarray, x_cuts: dict[int, np.ndarray], radius: float):
                 at = np.flatnonzero(s_low + ds <= s_own)
                 strip = s_low[at] + ds
                 c_low, c_own = np.zeros(len(at), "int64"), np.zeros(len(at), "int64")
-                for s in set(strip.tolist()) & set(x_cuts):
-                    own = strip == s
-                    c_low[own] = np.searchsorted(x_cuts[s], x[at[own]] - radius, "right")
-                    c_own[own] = np.searchsorted(x_cuts[s], x[at[own]], "right")
+                for s in set(strip.tolist()):
+                    if len(x_cuts[s]):
+                        own = strip == s
+                        c_low[own] = np.searchsorted(x_cuts[s], x[at[own]] - radius, "right")
+                        c_own[own] = np.searchsorted(x_cuts[s], x[at[own]], "right")
                 for dc in (0, 1):
                     k = np.flatnonzero(c_low + dc <= c_own)
-                    parts.append(pd.DataFrame({"cell": strip[k].astype("int64") * 64 + c_low[k] + dc, "id": ids[at[k]], "x": x[at[k]], "y": y[at[k]]}))
+                    parts.append(pd.DataFrame({"cell": first[strip[k]] + c_low[k] + dc, "id": ids[at[k]], "x": x[at[k]], "y": y[at[k]]}))
             yield pd.concat(parts, ignore_index=True)
 
     return run
 
 
-def sweep(ids: np.ndarray, x: np.ndarray, y: np.ndarray, radius: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions (i, j) of all pairs of points at most `radius` apart.
+class Sweep:
+    """Pairs of points at most `radius` apart, of points given in the order of y.
 
-    The points are swept upwards in bands of one radius. The active set is the
-    band of the sweep line and the one above it, each ordered by x, so the
-    candidates of a point are two binary searches in it.
+    The active set holds the points at most one radius below the sweep line,
+    ordered by x. A new point is compared with those at most one radius left or
+    right of it, found by bisection, and then enters; points fall out as the
+    line leaves them behind.
     """
-    if len(ids) < 2:
-        return
-    band = np.floor((y - y.min()) / radius).astype("int64")
-    local = x - x.min()
-    order = np.lexsort((local, band))
-    band, local, px, py = band[order], local[order], x[order], y[order]
-    width = float(local[-1] if len(local) == 1 else local.max()) + 4 * radius
-    key = band * width + local
-    slack = radius * 1e-6 + 8 * np.spacing(key[-1])
-    n = np.arange(len(key))
-    first = np.concatenate([n + 1, np.searchsorted(key, key + width - radius - slack, "left")])
-    last = np.concatenate([np.searchsorted(key, key + radius + slack, "right"), np.searchsorted(key, key + width + radius + slack, "right")])
-    who, count = np.concatenate([n, n]), np.maximum(last - first, 0)
-    ends = np.cumsum(count)
-    start = 0
-    while start < len(who):
-        base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + CHUNK, "right")))
-        c = count[start:stop]
-        i = np.repeat(who[start:stop], c)
-        j = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c) + np.repeat(first[start:stop], c)
-        near = (px[i] - px[j]) ** 2 + (py[i] - py[j]) ** 2 <= radius * radius
-        yield order[i[near]], order[j[near]]
-        start = stop
-
-
-def _pairs(y_cuts: np.ndarray, x_cuts: dict[int, np.ndarray], radius: float):
-    def finish(cell: int, rows: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = pd.concat(rows, ignore_index=True)
-        ids, x, y = p["id"].to_numpy(), p["x"].to_numpy(), p["y"].to_numpy()
-        strip, part = divmod(cell, 64)
-        cuts = x_cuts.get(strip, np.array([]))
-        for i, j in sweep(ids, x, y, radius):
-            own = np.searchsorted(y_cuts, np.minimum(y[i], y[j]), "right") == strip
-            own &= np.searchsorted(cuts, np.minimum(x[i], x[j]), "right") == part
-            own &= ids[i] != ids[j]
-            if own.any():
-                a, b = ids[i[own]], ids[j[own]]
-                yield pd.DataFrame({"id_a": np.minimum(a, b), "id_b": np.maximum(a, b)})
+
+    def __init__(self, radius: float, rounding: float = 0.0):
+        self.slack, self.limit = radius * 1.000001 + rounding, radius * radius
+        self.xs: list[float] = []
+        self.active: list[tuple[int, float, float]] = []
+        self.queue: deque[tuple[int, float, float]] = deque()
+
+    def put(self, id_: int, x: float, y: float) -> list[tuple[int, float, float]]:
+        """The earlier points (id, x, y) that are near this one."""
+        xs, active, queue, slack = self.xs, self.active, self.queue, self.slack
+        low = y - slack
+        while queue and queue[0][2] < low:
+            old = queue.popleft()
+            at = bisect_left(xs, old[1])
+            while active[at] is not old:
+                at += 1
+            del xs[at], active[at]
+        first = bisect_left(xs, x - slack)
+        last = bisect_right(xs, x + slack, first)
+        limit = self.limit
+        near = [p for p in active[first:last] if (p[1] - x) * (p[1] - x) + (p[2] - y) * (p[2] - y) <= limit]
+        point = (id_, x, y)
+        at = bisect_right(xs, x, first, last)
+        xs.insert(at, x)
+        active.insert(at, point)
+        queue.append(point)
+        return near
+
+
+def _pairs(y_cuts: np.ndarray, x_cuts: list[np.ndarray], radius: float):
+    first = np.cumsum([0] + [len(c) + 1 for c in x_cuts])
+
+    def bounds(cell: int) -> tuple[float, float, float, float]:
+        """The half-open part of the plane whose pairs a cell owns: from y and x, up to y and x."""
+        strip = int(np.searchsorted(first, cell, "right")) - 1
+        edge = lambda cuts, i: float(cuts[i]) if 0 <= i < len(cuts) else np.inf if i >= 0 else -np.inf
+        part = cell - int(first[strip])
+        return edge(y_cuts, strip - 1), edge(x_cuts[strip], part - 1), edge(y_cuts, strip), edge(x_cuts[strip], part)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, rows = None, []
-        for b in batches:
-            cells = b["cell"].to_numpy()
-            for piece in np.split(np.arange(len(b)), np.flatnonzero(np.diff(cells)) + 1):
-                if len(piece) == 0:
-                    continue
-                cell = int(cells[piece[0]])
+        current, sweep, a, b = None, None, [], []
+        for batch in batches:
+            rounding = 4 * float(np.spacing(np.abs(batch[["x", "y"]].to_numpy()).max(initial=1.0)))
+            if sweep:
+                sweep.slack = max(sweep.slack, radius * 1.000001 + rounding)
+            for cell, id_, x, y in zip(*(batch[c].tolist() for c in ("cell", "id", "x", "y"))):
                 if cell != current:
-                    if rows:
-                        yield from finish(current, rows)
-                    current, rows = cell, []
-                rows.append(b.iloc[piece])
-        if rows:
-            yield from finish(current, rows)
+                    current, sweep = cell, Sweep(radius, rounding)
+                    y0, x0, y1, x1 = bounds(cell)
+                for other, ox, oy in sweep.put(id_, x, y):
+                    least_x = x if x < ox else ox
+                    if y0 <= oy < y1 and x0 <= least_x < x1 and other != id_:  # oy is the lesser y
+                        a.append(id_ if id_ < other else other)
+                        b.append(other if id_ < other else id_)
+                if len(a) >= CHUNK:
+                    yield pd.DataFrame({"id_a": a, "id_b": b})
+                    a, b = [], []
+        yield pd.DataFrame({"id_a": a, "id_b": b}, dtype="int64")
 
     return run
 
@@ -167,5 +182,9 @@ def pairs_within(ws: Workspace, points: DataFrame, radius: float, cell_points: i
     points = ws.write(points.select(F.col("id").cast("long"), F.col("x").cast("double"), F.col("y").cast("double")), "points")
     y_cuts, x_cuts = plan_cells(points, radius, cell_points)
     cell = T.StructType([T.StructField("cell", T.LongType()), *points.schema.fields])
+    cells = sum(len(c) + 1 for c in x_cuts)
     spread = points.mapInPandas(_spread(y_cuts, x_cuts, radius), cell)
-    return spread.repartition("cell").sortWithinPartitions("cell").mapInPandas(_pairs(y_cuts, x_cuts, radius), "id_a long, id_b long")
+    # Ranges of cells by the planned bounds, so no sampling job and no bounds of Spark's own.
+    tasks = min(cells, MOST_TASKS)
+    ranged = spread.repartitionById(tasks, F.floor(F.col("cell") * tasks / cells).cast("int"))
+    return ranged.sortWithinPartitions("cell", "y", "x", "id").mapInPandas(_pairs(y_cuts, x_cuts, radius), "id_a long, id_b long")
