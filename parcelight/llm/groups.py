@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelight.operators.components import both_ways, contract, label
+from parcelight.operators.components import HOT_PARTS, HOT_ROWS, both_ways, contract, label, spread_join, stars
 from parcelight.runtime import Workspace
 
 #: Rounds of the breadth-first search; what it has not reached by then is labelled like the rest.
@@ -24,31 +24,39 @@ def clean_edges(matches: DataFrame, known: DataFrame | None, a: str, b: str, key
     return edges
 
 
-def _peel(ws: Workspace, edges: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+def _peel(ws: Workspace, edges: DataFrame, n: int) -> tuple[DataFrame, DataFrame, int]:
     """The component of the vertex of highest degree as (id, parent), the edges that are left and their number.
 
-    Frontiers are joined with the edges until one is empty. If BFS_ROUNDS end
-    before, what was reached becomes one vertex of the edges that are left.
+    Frontiers are joined with the edges until one is empty. The first one is a
+    single vertex, whose edges are taken by a filter and are left out from then
+    on; edges of other vertices of high degree are dealt to many tasks. If
+    BFS_ROUNDS end before, what was reached becomes one vertex of the edges
+    that are left.
     """
-    hub = both_ways(edges).groupBy("u").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "u").limit(1).select(F.col("u").alias("id"))
-    reached = frontier = ws.write(hub, "reached-0")
-    done = False
-    for turn in range(1, BFS_ROUNDS + 1):
-        ids = F.broadcast(frontier) if turn == 1 else frontier  # one row at first, however many edges it has
-        forward = edges.join(ids, F.col("u") == F.col("id"), "left_semi").select(F.col("v").alias("id"))
-        back = edges.join(ids, F.col("v") == F.col("id"), "left_semi").select(F.col("u").alias("id"))
-        frontier, found = ws.write_counting(forward.unionAll(back).distinct().join(reached, "id", "left_anti"), f"reached-{turn}", "true")
-        if not found:
-            done = True
+    degrees = both_ways(edges).groupBy("u").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "u").limit(2 * HOT_PARTS + 1).collect()
+    hub = degrees[0].u
+    hot = [r.u for r in degrees if n >= HOT_ROWS and r.n > n / HOT_PARTS]  # all of them, as the degrees add up to 2 n
+    beside = edges.filter(F.col("u") == hub).select(F.col("v").alias("id")).unionAll(edges.filter(F.col("v") == hub).select(F.col("u").alias("id")))
+    start = ws.spark.createDataFrame([(hub,)], "id long")
+    frontier, found = ws.write_counting(beside, "reached-1", "true")
+    reached = start.unionAll(frontier)
+    others = edges.filter((F.col("u") != hub) & (F.col("v") != hub))
+    done = not found
+    for turn in range(2, BFS_ROUNDS + 1):
+        if done:
             break
+        forward = spread_join(others, frontier.withColumnRenamed("id", "u"), "u", hot, "left_semi").select(F.col("v").alias("id"))
+        back = spread_join(others, frontier.withColumnRenamed("id", "v"), "v", hot, "left_semi").select(F.col("u").alias("id"))
+        frontier, found = ws.write_counting(forward.unionAll(back).distinct().join(reached, "id", "left_anti"), f"reached-{turn}", "true")
+        done = not found
         reached = reached.unionAll(frontier)
     least = reached.agg(F.min("id")).first()[0]
     peeled = ws.write(reached.select("id", F.lit(least).alias("parent")), "peeled")
     if done:
-        rest = edges.join(peeled, F.col("u") == F.col("id"), "left_anti")
+        rest = spread_join(others, peeled.select(F.col("id").alias("u")), "u", hot, "left_anti")
     else:
-        rest = contract(edges, peeled)
-    return peeled, *ws.write_counting(rest, "rest-0", "true")
+        rest = contract(edges, peeled, n)
+    return peeled, *ws.write_counting(stars(rest), "rest-0", "true")
 
 
 def groups(ws: Workspace, edges: DataFrame) -> DataFrame:
@@ -64,5 +72,5 @@ def groups(ws: Workspace, edges: DataFrame) -> DataFrame:
     edges, n = ws.write_counting(edges, "edges", "true")
     if not n:
         return edges.select(F.col("u").alias("id"), F.col("v").alias("group_id"))
-    peeled, rest, n = _peel(ws, edges)
+    peeled, rest, n = _peel(ws, edges, n)
     return label(ws, rest, n, peeled)
