@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parcelight.runtime import Workspace, delete, exists, rename
+from parcelight.runtime import Workspace, delete, exists, folder_bytes, rename
 
-#: Bytes in memory of the rows of a consolidated file; on disk it has about a fifth of them.
-TARGET_BYTES = 128 << 20
 #: A group of copies is salted if it has more than one in so many rows; so there are fewer such groups than this.
 HOT_SHARE = 1_000
 
@@ -123,15 +122,22 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _ARROW)], schema=_ARROW)
 
 
+def _bytes(text: str) -> int:
+    """Bytes of a setting such as 128MB or 16m."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", text.strip().lower()).groups()
+    return int(number) << (10 * " kmgt".index(unit or " "))
+
+
 class CountMismatch(RuntimeError):
     pass
 
 
-def compact(ws: Workspace, files: DataFrame, target: str, target_bytes: int = TARGET_BYTES) -> tuple[DataFrame, DataFrame]:
+def compact(ws: Workspace, files: DataFrame, target: str, target_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Writes every feature of every readable body of `files` (file_id, body)
-    exactly once to `target`, in files whose rows take about `target_bytes` of
-    memory, sorted by (tile_id, region), and the repeats beside it to
-    `<target>.repeats`; returns (features kept, repeats left out).
+    exactly once to `target`, in files of about `target_bytes` (half of what the
+    session reads in one task, if not given), sorted by (tile_id, region), and
+    the repeats beside it to `<target>.repeats`; returns (features kept,
+    repeats left out).
 
     Each body is parsed once into a loaded table. That is range-partitioned on
     the clustering keys with sampled boundaries. The keys go on after (tile_id,
@@ -152,17 +158,17 @@ def compact(ws: Workspace, files: DataFrame, target: str, target_bytes: int = TA
     """
     spark = ws.spark
     swap(spark, target)
-    text = lambda c: F.coalesce(F.octet_length(c), F.lit(0))
-    size = F.lit(150) + 8 * F.coalesce(F.size("ring"), F.lit(0)) + text("shape") + text("rest") + text("prompt")
-    parsed = files.select(F.col("file_id").cast("long"), "body").mapInArrow(_parse, FEATURE_SCHEMA).withColumn("same", F.md5(F.to_json(F.struct(*_SAME))))
-    loaded, rows, size = ws.write_summing(parsed, "loaded", F.lit(1), size)
-    parts = max(1, math.ceil(size / target_bytes))
+    if target_bytes is None:
+        target_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")) // 2
+    parsed = files.select(F.col("file_id").cast("long"), "body").mapInArrow(_parse, FEATURE_SCHEMA)
+    loaded, rows = ws.write_counting(parsed.withColumns({"same": F.xxhash64(*_SAME), "same_too": F.xxhash64(F.lit(1), *reversed(_SAME))}), "loaded", "true")
+    parts = max(1, math.ceil(folder_bytes(spark, ws.path("loaded")) / target_bytes))
     first = F.min(F.struct("file_id", "feature_no"))
-    hot = loaded.groupBy("same").agg(F.count("*").alias("n"), first.alias("first")).filter(F.col("n") > max(2, rows // HOT_SHARE)).collect() if rows else []
-    keys, is_hot, is_first = ["tile_id", "region", "same"], F.lit(False), F.lit(False)
+    hot = loaded.groupBy("same", "same_too").agg(F.count("*").alias("n"), first.alias("first")).filter(F.col("n") > max(2, rows // HOT_SHARE)).collect() if rows else []
+    keys, is_hot, is_first = ["tile_id", "region", "same", "same_too"], F.lit(False), F.lit(False)
     if hot:  # fewer than HOT_SHARE
-        is_hot = F.col("same").isin([r.same for r in hot])
-        is_first = F.concat_ws(" ", "same", "file_id", "feature_no").isin([f"{r.same} {r.first.file_id} {r.first.feature_no}" for r in hot])
+        is_hot = F.concat_ws(" ", "same", "same_too").isin([f"{r.same} {r.same_too}" for r in hot])
+        is_first = F.concat_ws(" ", "file_id", "feature_no").isin([f"{r.first.file_id} {r.first.feature_no}" for r in hot])
         keys.append("salt")
         loaded = loaded.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("file_id", "feature_no"), F.lit(parts))).otherwise(0))
     copies = Window.partitionBy(*keys).orderBy("file_id", "feature_no")

@@ -117,12 +117,6 @@ class Workspace:
         df.observe(seen, F.count_if(F.expr(condition)).alias("n")).write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name)), seen.get["n"]
 
-    def write_summing(self, df: DataFrame, name: str, *values) -> tuple:
-        """Writes a table and sums up numbers of its rows on the way; returns it and the sums. A repeated task may add its numbers again."""
-        seen = Observation()
-        df.observe(seen, *[F.sum(v.cast("long")).alias(f"v{i}") for i, v in enumerate(values)]).write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name)), *(seen.get[f"v{i}"] or 0 for i in range(len(values)))
-
     def drop(self, *names: str) -> None:
         for name in names:
             delete(self.spark, self.path(name))

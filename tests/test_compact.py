@@ -68,7 +68,7 @@ def test_no_files_and_no_features(spark, ws):
 
 def test_files_have_about_the_target_size(spark, ws):
     files = spark.createDataFrame([(i, body(*[feature(area_m2=i + k / 100, tile_id="hot" if i % 3 else f"t{i}") for k in range(50)])) for i in range(60)], "file_id long, body string")
-    kept, repeats = compact.compact(ws, files, ws.path("sized"), target_bytes=100_000)
+    kept, repeats = compact.compact(ws, files, ws.path("sized"), target_bytes=20_000)
     names = [r[0] for r in kept.select("_metadata.file_name").distinct().collect()]
     assert kept.count() == 3000 and repeats.count() == 0
     assert 2 <= len(names) <= 12
@@ -135,7 +135,7 @@ def test_a_stop_between_the_renames(spark, ws, monkeypatch):
 def test_a_third_of_all_rows_are_copies(spark, ws):
     files = [(i, body(feature(), *[feature(area_m2=i + k / 8) for k in range(2)])) for i in range(5, 900)] + [(4, body(feature(TURNED)))]
     df = spark.createDataFrame(files, "file_id long, body string")
-    kept, repeats = compact.compact(ws, df, ws.path("copies"), target_bytes=60_000)
+    kept, repeats = compact.compact(ws, df, ws.path("copies"), target_bytes=10_000)
     assert [(r.file_id, r.feature_no) for r in kept.filter("area_m2 = 3.0").collect()] == [(4, 0)]
     assert kept.count() == 1 + 2 * 895 and repeats.count() == 895
     assert repeats.select("_metadata.file_name").distinct().count() > 1
