@@ -104,7 +104,7 @@ def affine(box: Box, a: Column, b: Column, c: Column, d: Column, e: Column, f: C
     return Box.of(F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys))
 
 
-def cells(box: Box, size: float) -> Column:
+def cells(box: Box, size: float | Column) -> Column:
     """Grid cells (struct cx, cy) that a box touches, as an array to explode."""
     span = lambda low, high: F.sequence(F.floor(low / size), F.floor(high / size))
     xs, ys = span(box.x0, box.x1), span(box.y0, box.y1)

@@ -140,10 +140,11 @@ def labels_of(parents: DataFrame, labels: DataFrame, n: int) -> DataFrame:
     return spread_join(parents, top, "parent", hot_keys(parents, "parent", n), "left").select("id", F.coalesce("group_id", "parent").alias("group_id"))
 
 
-def components(ws: Workspace, edges: DataFrame) -> DataFrame:
+def components(ws: Workspace, edges: DataFrame, name: str = "") -> DataFrame:
     """(id, group_id) of each vertex of `edges` (u, v; any order, repeats and loops allowed; a null side links nothing).
 
     Edges that lie in one partition are joined there before anything is shuffled.
     """
     clean = edges.filter("u is not null and v is not null").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u < v")
+    ws = ws.part(name) if name else ws
     return label(ws, *ws.write_counting(stars(clean), "rest-0", "true"))

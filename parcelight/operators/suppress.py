@@ -1,4 +1,4 @@
-"""Non-maximum suppression and dissolving, as relational rounds over pairs of boxes."""
+"""Non-maximum suppression and dissolving, over pairs of boxes or polygons."""
 
 from __future__ import annotations
 
@@ -7,61 +7,112 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelight.functions import polygons
 from parcelight.functions.boxes import Box
-from parcelight.operators.components import components
+from parcelight.operators.components import components, hot_keys, spread_join
 from parcelight.operators.spatial import box_pairs
 from parcelight.runtime import Workspace
 
 
-def nms(ws: Workspace, boxes: DataFrame, threshold: float, within: list[str] = (), mode: str = "greedy", name: str = "nms") -> DataFrame:
+def nms(ws: Workspace, boxes: DataFrame, threshold: float, within: list[str] = (), mode: str = "greedy", name: str = "nms", edges: str | None = None) -> DataFrame:
     """The boxes (id, x0, y0, x1, y1, score, ...) that greedy suppression keeps.
 
     Boxes are ranked by score, then id, in each group of `within`. A box is
     dropped if a kept one ranks above it and their IoU is above `threshold`;
-    an IoU of exactly the threshold is kept. Mode `index_guard` lets a box drop
-    only boxes with a greater id. A null score ranks last.
-
-    Only pairs above the threshold take part: a box that ranks first in all
-    its pairs is kept, drops the others of its pairs, and so on until no pair
-    is left. The rounds are as many as the longest chain of such decisions,
-    and no group is ever gathered, whatever the size of a tile.
+    an IoU of exactly the threshold is kept. With `edges`, a column of edges,
+    the IoU is that of the areas inside them. Mode `index_guard` lets a box
+    drop only boxes with a greater id. A null score ranks last.
+
+    Only pairs above the threshold take part. They are sorted into connected
+    groups, and each group is decided in the order of rank as a stream of its
+    pairs, so chains of any length take one pass. A group of more than
+    GROUP_PAIRS pairs is decided in rounds instead: what ranks first in all its
+    pairs is kept and drops the others, until no pair is left.
     """
     if mode not in ("greedy", "index_guard"):
         raise ValueError(mode)
-    slim = boxes.select("id", *within, "x0", "y0", "x1", "y1", F.coalesce("score", F.lit(-math.inf)).alias("score"))
+    slim = boxes.select("id", *within, "x0", "y0", "x1", "y1", F.coalesce("score", F.lit(-math.inf)).alias("score"), *([edges] if edges else []))
     above = (F.col("l_score") > F.col("r_score")) | ((F.col("l_score") == F.col("r_score")) & (F.col("l_id") < F.col("r_id")))
     if mode == "index_guard":
         above &= F.col("l_id") < F.col("r_id")
-    pairs = box_pairs(slim, slim, within, keep=above & Box("l_").iou_above(Box("r_"), threshold)).select(F.col("l_id").alias("w"), F.col("r_id").alias("l"))
-    open_, n = ws.write_counting(pairs, f"{name}-pairs-0", "true")
-    dropped, turn = open_.select(F.col("l").alias("id")).limit(0), 0
+    pairs = box_pairs(slim, slim, within, keep=above)
+    if edges:
+        common = polygons.overlap(F.col(f"l_{edges}"), F.col(f"r_{edges}"), F.least("l_x0", "r_x0"), F.least("l_y0", "r_y0"))
+        area = lambda p: polygons.area(F.col(p + edges), F.col(p + "x0"), F.col(p + "y0"))
+        pairs = pairs.filter(Box("l_").overlap(Box("r_")) > 0).withColumns({"_i": common, "_a": area("l_"), "_b": area("r_")}).filter(F.col("_i") > threshold * (F.col("_a") + F.col("_b") - F.col("_i")))
+    else:
+        pairs = pairs.filter(Box("l_").iou_above(Box("r_"), threshold))
+    open_, n = ws.write_counting(pairs.select(F.col("l_id").alias("w"), F.col("l_score").alias("score"), F.col("r_id").alias("l")), f"{name}-pairs", "true")
+    return boxes.join(_dropped(ws, open_, n, name), "id", "left_anti") if n else boxes
+
+
+#: Pairs of a connected group that one task decides.
+GROUP_PAIRS = 5_000_000
+
+
+def _dropped(ws: Workspace, pairs: DataFrame, n: int, name: str) -> DataFrame:
+    """(id): what is dropped, given n pairs (w, score, l) of which w ranks above l."""
+    groups = components(ws, pairs.select(F.col("w").alias("u"), F.col("l").alias("v")), name).withColumnRenamed("id", "w")
+    grouped = spread_join(pairs, groups, "w", hot_keys(pairs, "w", n))
+    large = []
+    if n > GROUP_PAIRS:
+        grouped = ws.write(grouped, f"{name}-grouped")
+        large = [r[0] for r in grouped.groupBy("group_id").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP_PAIRS).collect()]  # n / GROUP_PAIRS at most
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, dropped = None, set()
+        for b in batches:
+            lost = []
+            for g, w, other in zip(*(c.to_pylist() for c in b.columns)):
+                if g != group:
+                    group, dropped = g, set()
+                if w not in dropped and other not in dropped:
+                    dropped.add(other)
+                    lost.append(other)
+            yield pa.RecordBatch.from_arrays([pa.array(lost, pa.int64())], ["id"])
+
+    small = grouped.filter(~F.col("group_id").isin(large)) if large else grouped
+    ordered = small.repartition("group_id").sortWithinPartitions("group_id", F.desc("score"), "w")
+    lost = ordered.select("group_id", "w", "l").mapInArrow(run, "id long")
+    return lost.unionAll(_in_rounds(ws, grouped.filter(F.col("group_id").isin(large)).select("w", "l"), name)) if large else lost
+
+
+def _in_rounds(ws: Workspace, pairs: DataFrame, name: str) -> DataFrame:
+    """(id): what is dropped, in as many rounds as the longest chain of decisions; what was found before is one written table."""
+    open_, n = ws.write_counting(pairs, f"{name}-open-0", "true")
+    dropped, turn = ws.write(pairs.select(F.col("l").alias("id")).limit(0), f"{name}-dropped-0"), 0
     while n:
         turn += 1
         first = open_.join(open_.select(F.col("l").alias("w")).distinct(), "w", "left_anti")
         lost = ws.write(first.select(F.col("l").alias("id")).distinct(), f"{name}-lost-{turn}")
+        still = open_.join(first.select("w").distinct(), "w", "left_anti").join(lost.withColumnRenamed("id", "l"), "l", "left_anti").join(lost.withColumnRenamed("id", "w"), "w", "left_anti")
+        open_, n = ws.write_counting(still, f"{name}-open-{turn}", "true")
         dropped = dropped.unionAll(lost)
-        rest = first.select("w").distinct()
-        still = open_.join(rest, "w", "left_anti").join(lost.withColumnRenamed("id", "l"), "l", "left_anti").join(lost.withColumnRenamed("id", "w"), "w", "left_anti")
-        open_, n = ws.write_counting(still, f"{name}-pairs-{turn}", "true")
-        ws.drop(f"{name}-pairs-{turn - 1}")
-    return boxes.join(dropped, "id", "left_anti")
+        if turn % 8 == 0:
+            dropped = ws.write(dropped, f"{name}-dropped-{turn}")
+        ws.drop(f"{name}-open-{turn - 1}")
+    return dropped
 
 
-def dissolved(ws: Workspace, boxes: DataFrame, buffer: float, within: list[str] = ()) -> DataFrame:
+def dissolved(ws: Workspace, boxes: DataFrame, buffer: float, within: list[str] = (), edges: str | None = None) -> DataFrame:
     """The boxes with blob_id, the least id of all boxes that they join when each is dilated by `buffer` with round corners.
 
-    Two boxes join if their gap is at most 2 buffers. With a buffer of 0 or
-    less nothing joins.
+    Two boxes join if their gap is at most 2 buffers; with `edges`, a column of
+    edges, it is the gap of the areas inside them. With a buffer of 0 or less
+    nothing joins.
     """
     if buffer <= 0:
         return boxes.withColumn("blob_id", F.col("id"))
-    slim = boxes.select("id", *within, "x0", "y0", "x1", "y1")
+    slim = boxes.select("id", *within, "x0", "y0", "x1", "y1", *([edges] if edges else []))
     keep = (F.col("l_id") < F.col("r_id")) & (Box("l_").gap(Box("r_")) <= 2 * buffer)
-    pairs = box_pairs(slim, slim, within, grow=buffer, keep=keep, cell=max(8.0, 2 * buffer)).select(F.col("l_id").alias("u"), F.col("r_id").alias("v"))
-    found = components(ws, pairs)
+    pairs = box_pairs(slim, slim, within, grow=buffer, keep=keep, cell=max(8.0, 2 * buffer))
+    if edges:
+        pairs = pairs.filter(polygons.gap(F.col(f"l_{edges}"), F.col(f"r_{edges}")) <= 2 * buffer)
+    found = components(ws, pairs.select(F.col("l_id").alias("u"), F.col("r_id").alias("v")))
     return boxes.join(found, "id", "left").withColumn("blob_id", F.coalesce("group_id", "id")).drop("group_id")
 
 

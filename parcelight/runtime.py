@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import copy
 import shutil
 import tempfile
 import uuid
@@ -101,6 +102,12 @@ class Workspace:
         self.root = f"{shared_root(spark)}/parcelight/{label}-{uuid.uuid4().hex}"
         atexit.register(self._close)
 
+    def part(self, name: str) -> Workspace:
+        """A subfolder, for an operator that is used more than once."""
+        part = copy.copy(self)
+        part.root = f"{self.root}/{name}"
+        return part
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 

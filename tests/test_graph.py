@@ -118,3 +118,15 @@ def test_dilated_area_against_a_raster(boxes, d):
     for x0, y0, x1, y1 in a:
         inside |= np.maximum(np.maximum(x0 - x, 0), x - x1) ** 2 + np.maximum(np.maximum(y0 - y, 0), y - y1) ** 2 <= d * d
     assert abs(dilated_area(*a.T, d) - inside.sum() * step**2) < 0.02 * inside.sum() * step**2 + 0.05
+
+
+@pytest.mark.parametrize("limit", [5_000_000, 20])
+def test_a_chain_of_2000_boxes(spark, ws, monkeypatch, limit):
+    """Each box overlaps the next and ranks above it, so every second one is kept; also where groups are too large for a task."""
+    from parcelight.operators import suppress
+
+    n = 2_000 if limit > 2_000 else 24  # rounds take a job for every second box
+    monkeypatch.setattr(suppress, "GROUP_PAIRS", limit)
+    boxes = spark.range(n).selectExpr("id", "id * 1.0 as x0", "0.0 as y0", "id + 1.5 as x1", "1.0 as y1", "1 - id / 10000 as score").selectExpr("id", *[f"double({c}) as {c}" for c in ("x0", "y0", "x1", "y1", "score")])
+    assert sorted(r.id for r in nms(ws, boxes, 0.1).select("id").collect()) == list(range(0, n, 2))
+    assert dissolved(ws, boxes, 0.1).select("blob_id").distinct().count() == 1
