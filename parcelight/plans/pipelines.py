@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelight.functions import polygons
 from parcelight.functions.boxes import Box
 from parcelight.operators.spatial import box_pairs
 from parcelight.operators.suppress import dissolved, nms
@@ -29,8 +30,17 @@ class Limits:
     merge_m: float = 1.0
 
 
+def _area(df: DataFrame) -> Column:
+    """The area inside the edges, or that of the box where a table has none."""
+    return F.col("area") if "area" in df.columns else Box().area
+
+
+def _edges(df: DataFrame) -> str | None:
+    return "edges" if "edges" in df.columns else None
+
+
 def by_area(df: DataFrame, limits: Limits) -> DataFrame:
-    return df.filter(Box().area.between(limits.min_area, limits.max_area))
+    return df.filter(_area(df).between(limits.min_area, limits.max_area))
 
 
 def by_aspect(df: DataFrame, limits: Limits) -> DataFrame:
@@ -38,45 +48,54 @@ def by_aspect(df: DataFrame, limits: Limits) -> DataFrame:
 
 
 def by_occupancy(df: DataFrame, limits: Limits) -> DataFrame:
-    return df.filter(Box().area <= limits.tile_area * limits.max_occupancy)
+    return df.filter(_area(df) <= limits.tile_area * limits.max_occupancy)
 
 
-def by_building(df: DataFrame, buildings: DataFrame, within: list[str], distance: float = 0.0) -> DataFrame:
-    """Detections at most `distance` from a footprint."""
-    near = box_pairs(df, buildings, within, grow=distance / 2, keep=Box("l_").gap(Box("r_")) <= distance)
-    return df.join(near.select(F.col("l_id").alias("id")), "id", "left_semi")
+def by_building(df: DataFrame, buildings: DataFrame, distance: float = 0.0) -> DataFrame:
+    """Detections at most `distance` from a footprint, by the edges of both if they have them."""
+    pairs = box_pairs(df.select("id", "x0", "y0", "x1", "y1", *([_edges(df)] if _edges(df) else [])), buildings, grow=distance / 2, keep=Box("l_").gap(Box("r_")) <= distance)
+    if _edges(df):
+        a, b = F.col("l_edges"), F.col("r_edges")
+        pairs = pairs.filter(polygons.gap(a, b) <= distance if distance else polygons.meets(a, b))
+    return df.join(pairs.select(F.col("l_id").alias("id")), "id", "left_semi")
 
 
 def langsam_tile(ws: Workspace, df: DataFrame, limits: Limits, within: list[str]) -> DataFrame:
     """Suppression, area, aspect, occupancy, suppression."""
-    kept = nms(ws, df, limits.nms_iou, within, name="first")
+    kept = nms(ws, df, limits.nms_iou, within, name="first", edges=_edges(df))
     kept = by_occupancy(by_aspect(by_area(kept, limits), limits), limits)
-    return nms(ws, kept, limits.nms_iou, within, name="second")
+    return nms(ws, kept, limits.nms_iou, within, name="second", edges=_edges(df))
 
 
 def langsam_file(ws: Workspace, df: DataFrame, limits: Limits, within: list[str]) -> DataFrame:
     """Area, aspect, merging by half the distance; each row with its blob."""
-    return dissolved(ws, by_aspect(by_area(df, limits), limits), limits.merge_m / 2, within)
+    return dissolved(ws, by_aspect(by_area(df, limits), limits), limits.merge_m / 2, within, _edges(df))
 
 
 def owlv2(ws: Workspace, df: DataFrame, limits: Limits, within: list[str]) -> DataFrame:
     """Suppression, area, occupancy, aspect; also for the segmentation model."""
-    return by_aspect(by_occupancy(by_area(nms(ws, df, limits.nms_iou, within), limits), limits), limits)
+    return by_aspect(by_occupancy(by_area(nms(ws, df, limits.nms_iou, within, edges=_edges(df)), limits), limits), limits)
 
 
 def phase2(ws: Workspace, df: DataFrame, buildings: DataFrame, limits: Limits, within: list[str]) -> DataFrame:
     """Suppression, area, aspect, at most 2 m from the building."""
-    return by_building(by_aspect(by_area(nms(ws, df, limits.nms_iou, within), limits), limits), buildings, within, 2.0)
+    return by_building(by_aspect(by_area(nms(ws, df, limits.nms_iou, within, edges=_edges(df)), limits), limits), buildings, 2.0)
 
 
 def phase3(df: DataFrame, negatives: DataFrame, buildings: DataFrame, within: list[str], most: float = 0.3) -> DataFrame:
     """Each candidate with its fate: outside the building, overlapped by a negative by more than `most` of its area, or kept."""
-    touching = by_building(df, buildings, within)
-    overlapped = box_pairs(touching, negatives, within, keep=Box("l_").overlap(Box("r_")) > most * Box("l_").area).select(F.col("l_id").alias("id")).distinct()
+    touching = by_building(df, buildings)
+    pairs = box_pairs(touching, negatives, within, keep=Box("l_").overlap(Box("r_")) > 0)
+    if _edges(df):
+        common = polygons.overlap(F.col("l_edges"), F.col("r_edges"), F.least("l_x0", "r_x0"), F.least("l_y0", "r_y0"))
+        pairs = pairs.filter(common > most * F.col("l_area"))
+    else:
+        pairs = pairs.filter(Box("l_").overlap(Box("r_")) > most * Box("l_").area)
+    overlapped = pairs.select(F.col("l_id").alias("id")).distinct()
     flags = df.join(touching.select("id", F.lit(True).alias("_in")), "id", "left").join(overlapped.withColumn("_neg", F.lit(True)), "id", "left")
     return flags.withColumn("fate", F.when(F.col("_in").isNull(), "outside").when(F.col("_neg"), "negative").otherwise("kept")).drop("_in", "_neg")
 
 
 def phase4(ws: Workspace, df: DataFrame, buildings: DataFrame, within: list[str], iou: float = 0.5, low: float = 0.5, high: float = 2000.0) -> DataFrame:
     """Building, area, suppression."""
-    return nms(ws, by_building(df, buildings, within).filter(Box().area.between(low, high)), iou, within)
+    return nms(ws, by_building(df, buildings).filter(_area(df).between(low, high)), iou, within, edges=_edges(df))
