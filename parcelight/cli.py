@@ -1,4 +1,4 @@
-"""python -m parcelight.cli COMMAND: tiles, summarize, analyze, evaluate, detect, fetch, validate, modules, config, compact.
+"""python -m parcelight.cli COMMAND: tiles, summarize, analyze, evaluate, detect, run, fetch, validate, modules, config, compact.
 
 Tables are read as Parquet, GeoJSON folders, GeoPackages or Shapefiles by the
 form of their path.
@@ -9,12 +9,13 @@ from __future__ import annotations
 import argparse
 import sys
 
+import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelight.functions.boxes import Box
 from parcelight.operators import compact, metrics
-from parcelight.plans import detectors
+from parcelight.plans import detectors, flow
 from parcelight.runtime import Workspace, ship
 from parcelight.sources import config, geojson, geotiff, sinks, wms
 from parcelight.sources.geopackage import GeoPackage
@@ -80,7 +81,8 @@ def tiles(a: argparse.Namespace) -> None:
     if a.export:
         print(sinks.single(ids, a.export, "lines"), "tiles")
     else:
-        ids.show(1000, False)
+        for r in ids.toLocalIterator():
+            print(r.coord_1k)
 
 
 def summarize(a: argparse.Namespace) -> None:
@@ -109,12 +111,22 @@ def evaluate(a: argparse.Namespace) -> None:
 
 def detect(a: argparse.Namespace) -> None:
     spark = session()
-    chips = geotiff.read_chips(spark, a.rasters, (1,)).filter("error is null").select(F.xxhash64("raster_id").alias("raster"), "width", "height", "data")
+    read = geotiff.read_chips(spark, a.rasters, (1,))
+    bad = read.filter("error is not null").select("raster_id", "error")
+    for r in bad.orderBy("raster_id").limit(20).collect():
+        print(f"{r.raster_id}: {r.error}", file=sys.stderr)
+    print(bad.count(), "unreadable rasters", file=sys.stderr)
+    chips = read.filter("error is null").select(F.xxhash64("raster_id").alias("raster"), "width", "height", "dtype", "data")
     runs = detectors.run_models(chips, a.models.split(","), a.prompt or ["dark roof panel."], tuple((a.skip or "").split(",")))
     runs.write.mode("overwrite").parquet(a.output)
     detectors.model_table(spark.read.parquet(a.output)).show()
 
 
+def run(a: argparse.Namespace) -> None:
+    record = flow.run(session(), a.rasters, a.output, a.model, a.prompt or ["dark roof panel."], size=a.patch, overlap=a.overlap)
+    print(yaml.safe_dump(record, sort_keys=False))
+
+
 def fetch(a: argparse.Namespace) -> None:
     spark = session()
     services = wms.registry(spark, config.load(a.config))
@@ -162,6 +174,7 @@ def main(argv: list[str] | None = None) -> None:
     command("analyze", analyze, ("--masks", need), ("--reference", need), ("--tile-id", {}), ("--snap", {"type": float, "default": 10.0}), ("--buffer", {"type": float, "default": 50.0}), ("--output", {"default": "proximity"}))
     command("evaluate", evaluate, ("--masks", need), ("--reference", need), ("--output", {"default": "metrics.csv"}))
     command("detect", detect, ("--rasters", need), ("--models", {"default": "langsam,owlv2,clipseg"}), ("--skip", {}), ("--prompt", {"action": "append"}), ("--output", need))
+    command("run", run, ("--rasters", need), ("--output", need), ("--model", {"default": "langsam"}), ("--prompt", {"action": "append"}), ("--patch", {"type": int, "default": 512}), ("--overlap", {"type": int, "default": 64}))
     command("fetch", fetch, ("--config", need), ("--lat", {"type": float} | need), ("--lon", {"type": float} | need), ("--size", {"type": float, "default": 1000.0}), ("--format", {"default": "geotiff"}), ("--output", {"default": "."}), ("--dry", {"action": "store_true"}))
     command("validate", validate, ("path", {}))
     command("modules", modules, ("--folder", {}))

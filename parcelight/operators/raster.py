@@ -55,6 +55,59 @@ def blobs(mask: np.ndarray, least: int = 1) -> list[tuple[int, int, int, int, in
     return out
 
 
+def outline(mask: np.ndarray) -> list[list[tuple[int, int]]]:
+    """Rings along the pixel edges of a boolean array, (x, y) in pixel corners, closed, with corners only where they turn.
+
+    Outer rings keep the pixels on one side, holes on the other; pixels that
+    meet in a corner only are apart.
+    """
+    m = np.pad(np.asarray(mask, bool), 1)
+    onward: dict[tuple[int, int], list[tuple[int, int]]] = {}
+
+    def add(rows, cols, x0, y0, x1, y1):
+        for r, c in zip((rows - 1).tolist(), (cols - 1).tolist()):
+            onward.setdefault((c + x0, r + y0), []).append((c + x1, r + y1))
+
+    inner = np.zeros_like(m)
+    inner[1:-1, 1:-1] = True
+    own = m & inner
+    add(*np.nonzero(own & ~np.roll(m, 1, 0)), 0, 0, 1, 0)  # nothing above: its upper edge, to the right
+    add(*np.nonzero(own & ~np.roll(m, -1, 1)), 1, 0, 1, 1)
+    add(*np.nonzero(own & ~np.roll(m, -1, 0)), 1, 1, 0, 1)
+    add(*np.nonzero(own & ~np.roll(m, 1, 1)), 0, 1, 0, 0)
+    rings = []
+    while onward:
+        start = min(onward)
+        ring, at, step = [start], start, (0, 0)
+        while True:
+            ends = onward[at]
+            # Where two ways go on, the turn to the right stays with the same pixel.
+            right = (at[0] - step[1], at[1] + step[0])
+            nxt = right if len(ends) > 1 and right in ends else ends[0]
+            ends.remove(nxt)
+            if not ends:
+                del onward[at]
+            turn = (nxt[0] - at[0], nxt[1] - at[1])
+            if turn != step and at != start:
+                ring.append(at)
+            at, step = nxt, turn
+            if at == start:
+                break
+        rings.append([*ring, start])
+    return rings
+
+
+def regions(mask: np.ndarray, least: int = 1) -> list[tuple[int, int, np.ndarray]]:
+    """(x0, y0, pixels) of each component of at least `least` pixels: its place and a boolean array of its bounds."""
+    labels = labelled(mask)
+    out = []
+    for n in range(1, int(labels.max(initial=0)) + 1):
+        r, c = np.nonzero(labels == n)
+        if len(r) >= least:
+            out.append((int(c.min()), int(r.min()), labels[r.min() : r.max() + 1, c.min() : c.max() + 1] == n))
+    return out
+
+
 def vectorized(pixels: DataFrame, width: int, height: int, least: int = 1) -> DataFrame:
     """Components of the non-zero pixels (raster, r, c, v) of each raster: (raster, blob, x0, y0, x1, y1, px).
 

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from parcelight.functions.boxes import Box, repaired
 from parcelight.operators import patches, raster, suppress
-from parcelight.plans import detectors, pipelines
+from parcelight.plans import detectors, flow, pipelines
 from parcelight.plans.domain import NEGATIVE, Domain, Registry
 from parcelight.plans.vector_queries import NEAR_BOX
 from parcelight.runtime import ship
-from parcelight.sources import config
+from parcelight.sources import config, geojson
 
 query = Registry()
 queries, oracle_sql = query.runs.copy, query.sql.copy
@@ -344,3 +344,13 @@ def cli_config_check(d: Domain) -> DataFrame:
 def udf_versions(d: Domain) -> DataFrame:
     """Versions of the libraries that the workers see; a missing one is null."""
     return detectors.versions(d.spark)
+
+
+@query()
+def pipeline_tile_flow(d: Domain) -> DataFrame:
+    """Rasters written as GeoTIFFs, detected patch by patch, suppressed, filtered, written as GeoJSON and read again."""
+    from parcelight.plans.source_queries import write_rasters
+
+    folder, out = write_rasters(d), f"{d.ws.path('flow').removeprefix('file://')}"
+    flow.run(d.spark, folder, out, "langsam", ["dark roof panel."], replace(LIMITS, min_area=0.05, max_aspect=8.0))
+    return geojson.read_masks(d.spark, out).select("tile_id", "region", "detection_id", "area_m2", "score", "prompt")

@@ -99,7 +99,7 @@ def detect(rows: DataFrame, model: str, prompts: list[str], offset: tuple[str, s
     """Detections of a model on chips: (raster, model, prompt, no, x0, y0, x1, y1, score, error).
 
     `offset` names columns with the chip's place in its raster, which is added
-    to the boxes. A chip on which the model fails gives one row with an error
+    to the boxes. Pixels are int32, or as a column `dtype` says. A chip on which the model fails gives one row with an error
     and no box; the others go on. A chip without detections has no row.
     """
     factory = _FACTORIES.get(model)
@@ -114,7 +114,7 @@ def detect(rows: DataFrame, model: str, prompts: list[str], offset: tuple[str, s
                     try:
                         if factory is None:
                             raise LookupError(f"no model {model}")
-                        image = np.frombuffer(row.data, "<i4").reshape(-1, row.height, row.width)
+                        image = np.frombuffer(row.data, getattr(row, "dtype", "<i4")).reshape(-1, row.height, row.width)
                         found = _loaded(model, factory)(image, prompt)
                         out += [(row.raster, model, prompt, i, x0 + dx, y0 + dy, x1 + dx, y1 + dy, score, None) for i, (x0, y0, x1, y1, score) in enumerate(found)]
                     except Exception as e:
@@ -122,7 +122,8 @@ def detect(rows: DataFrame, model: str, prompts: list[str], offset: tuple[str, s
             frame = pd.DataFrame(out, columns=["raster", "model", "prompt", "no", "x0", "y0", "x1", "y1", "score", "error"])
             yield frame.astype({"no": "Int32", **{c: "float64" for c in ("x0", "y0", "x1", "y1", "score")}})
 
-    return rows.select("raster", "width", "height", "data", *moved).mapInPandas(run, "raster long, model string, prompt string, no int, x0 double, y0 double, x1 double, y1 double, score double, error string")
+    kinds = ["dtype"] if "dtype" in rows.columns else []
+    return rows.select("raster", "width", "height", "data", *kinds, *moved).mapInPandas(run, "raster long, model string, prompt string, no int, x0 double, y0 double, x1 double, y1 double, score double, error string")
 
 
 def run_models(rows: DataFrame, names: list[str], prompts: list[str], skip: tuple[str, ...] = ()) -> DataFrame:

@@ -10,10 +10,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelight.functions import wkb
+from parcelight.functions import polygons, wkb
 from parcelight.functions.boxes import Box
-from parcelight.operators import raster
-from parcelight.plans.domain import Domain, Registry
+from parcelight.operators import metrics, raster
+from parcelight.operators.rangesort import running_sums
+from parcelight.plans.domain import NEGATIVE, Domain, Registry
+from parcelight.plans.vector_queries import NEAR_BOX, SNAP, buildings_of
 from parcelight.runtime import ship
 from parcelight.sources import config, geojson, geopackage, geotiff, sinks, wms
 
@@ -39,18 +41,19 @@ def _polygon(box: Box) -> Column:
 
 
 def _masks(d: Domain) -> DataFrame:
-    return d.boxes.select(F.format_string("T%02d", "tile").alias("tile_id"), "region", "id", BOX.area.alias("area_m2"), "score", "prompt", _polygon(BOX).alias("geometry"))
+    region = F.coalesce("region", F.lit("core"))
+    return d.masks.select(F.col("tile").alias("tile_id"), region.alias("region"), "id", "area_m2", "score", "prompt", polygons.to_json(F.col("shape")).alias("geometry"))
 
 
 def _written(d: Domain) -> str:
-    """The detections as one GeoJSON file per tile and region."""
+    """The detections as GeoJSON files of a tile and region each."""
     folder = _folder(d, "masks")
-    geojson.write_tiles(geojson.numbered(_masks(d)), folder).agg(F.sum("features")).collect()
+    geojson.write_tiles(geojson.numbered(d.ws, _masks(d)), folder).agg(F.sum("features")).collect()
     return folder
 
 
-_NUMBERED = """select printf('T%02d', tile) as tile_id, region, cast(row_number() over (partition by tile, region order by score desc, id) - 1 as int) as detection_id,
-    round((x1 - x0) * (y1 - y0), 2) as area_m2, round(score, 3) as score, prompt from boxes"""
+_NUMBERED = """select tile as tile_id, coalesce(region, 'core') as region, cast(row_number() over (partition by tile, coalesce(region, 'core') order by score desc nulls last, id) - 1 as int) as detection_id,
+    round(area_m2, 2) as area_m2, round(score, 3) as score, prompt from boxes"""
 
 
 @query(f"select *, tile_id || '_' || region || '.geojson' as source_file from ({_NUMBERED})")
@@ -65,122 +68,141 @@ def scan_core_donut(d: Domain) -> DataFrame:
     return rows.groupBy(F.col("file_tile").alias("tile_id"), F.col("file_region").alias("region")).agg(F.count("*").alias("n"))
 
 
-@query(f"select region, detection_id from ({_NUMBERED}) where tile_id = 'T07'")
+@query(f"select region, detection_id from ({_NUMBERED}) where tile_id = '31TAF2121'")
 def scan_tile_masks(d: Domain) -> DataFrame:
-    return geojson.read_masks(d.spark, _written(d), tile_id="T07").select("region", "detection_id")
+    return geojson.read_masks(d.spark, _written(d), tile_id="31TAF2121").select("region", "detection_id")
 
 
-@query(_NUMBERED)
+@query(f"select n.*, round(b.area, 1) as area from ({_NUMBERED.replace('select tile', 'select id, tile', 1)}) n join (select id, area + 0.000013::double as area from boxes) b using (id)".replace("select n.*", "select n.* exclude (id)"))
 def sink_geojson_tile(d: Domain) -> DataFrame:
-    return geojson.read_masks(d.spark, _written(d)).select("tile_id", "region", "detection_id", "area_m2", "score", "prompt")
+    """Each feature as written, with the area of the geometry that was read."""
+    read = geojson.read_masks(d.spark, _written(d))
+    edges = polygons.edges(polygons.polygons(F.col("geometry")))
+    box = polygons.bounds(F.col("_e"))
+    area = F.round(polygons.area(F.col("_e"), F.col("_x"), F.col("_y")) + 0.000013, 1)
+    rows = read.withColumn("_e", edges).withColumns({"_x": box.x0, "_y": box.y0})
+    return rows.select("tile_id", "region", "detection_id", "area_m2", "score", "prompt", area.alias("area"))
 
 
-@query("select tile % 10 as building, count(*) as features, min(printf('%d_%04d', tile % 10, id)) as first from boxes group by all")
+@query(NEAR_BOX.format(d=2) + "select fid as building, count(*) as features, min(printf('%d_%04d', fid, id)) as first from hits group by all")
 def sink_geojson_building(d: Domain) -> DataFrame:
-    """Features per building as JSON documents, and their ids read back."""
-    building = F.col("tile") % 10
-    features = d.boxes.select(building.alias("building"), F.format_string("%d_%04d", building, F.col("id")).alias("id"), _polygon(BOX).alias("geometry"))
-    back = geojson.documents(features, ["building"]).select("building", F.from_json("document", geojson.FEATURES)["features"].alias("f"))
+    """Masks near each building as one JSON document per building, and their ids read back."""
+    hits = buildings_of(d, 2.0).join(d.masks.select("id", polygons.to_json(F.col("shape")).alias("geometry")), "id")
+    features = hits.select(F.col("fid").alias("building"), F.format_string("%d_%04d", "fid", "id").alias("id"), "geometry")
+    path = d.ws.path("buildings")
+    geojson.documents(features, ["building"]).write.mode("overwrite").parquet(path)
+    back = d.spark.read.parquet(path).select("building", F.from_json("document", geojson.FEATURES)["features"].alias("f"))
     return back.select("building", F.size("f").cast("long").alias("features"), F.array_min(F.transform("f", lambda f: f["properties"]["id"])).alias("first"))
 
 
-@query("""with b as (select * from boxes where tile = 3)
-    select printf('B_%04d', row_number() over (order by prompt = '5-LOW', id) - 1) as id, case when prompt = '5-LOW' then 'negative_mask' else 'pv' end as type, score from b""")
+@query(f"""select printf('B%s_%04d', tile, row_number() over (partition by tile order by coalesce(prompt, '') in {NEGATIVE}, id) - 1) as id, case when coalesce(prompt, '') in {NEGATIVE} then 'negative_mask' else 'pv' end as type, score from boxes""")
 def sink_geojson_phase(d: Domain) -> DataFrame:
-    """Each building's candidates, negatives numbered after the kept ones; a tile is a building."""
-    from pyspark.sql import Window
+    """Each tile's candidates as features, negatives numbered after the kept ones, read back from lines of JSON."""
+    negative = F.coalesce(F.col("prompt").isin(*NEGATIVE), F.lit(False))
+    rows = d.masks.select("tile", "id", "score", polygons.to_json(F.col("shape")).alias("geometry"), negative.alias("negative"))
+
+    def number(kept: Column, name: str) -> DataFrame:
+        placed = running_sums(d.ws, rows.filter(kept).withColumn("one", F.lit(1)), ["tile"], ["id"], "one", name)
+        return placed.select("tile", (F.col("running") - 1).alias("no"), "geometry", "score")
 
-    candidates = d.boxes.withColumn("geometry", _polygon(BOX))
-    number = lambda df: df.select("tile", (F.row_number().over(Window.partitionBy("tile").orderBy("id")) - 1).alias("no"), "geometry", "score")
-    building = F.concat(F.lit("B"), F.col("tile").cast("string"))
-    return geojson.building_features(number(candidates.filter("prompt <> '5-LOW'")), building, number(candidates.filter("prompt = '5-LOW'")), ["tile"]).select("id", "type", "score")
+    features = geojson.building_features(number(~F.col("negative"), "pv"), F.concat(F.lit("B"), "tile"), number(F.col("negative"), "negative"), ["tile"])
+    path = d.ws.path("phase")
+    features.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.try_parse_json("geometry").alias("geometry"), F.struct("id", F.col("type").alias("kind"), "score").alias("properties"))).alias("value")).write.mode("overwrite").text(path)
+    got = d.spark.read.text(path).select(F.from_json("value", "properties struct<id:string,kind:string,score:double>")["properties"].alias("p"))
+    return got.select("p.id", F.col("p.kind").alias("type"), "p.score")
 
 
 @query(_NUMBERED)
 def sink_merged_geojson(d: Domain) -> DataFrame:
-    rows = geojson.numbered(_masks(d))
+    """All features in few GeoJSON files, read back."""
+    rows = geojson.numbered(d.ws, _masks(d))
     path = d.ws.path("merged")
-    geojson.write_merged([rows.filter("region = 'core'"), rows.filter("region = 'donut'")], path)
-    return d.spark.read.parquet(path).select("tile_id", "region", "detection_id", "area_m2", "score", "prompt")
+    geojson.write_merged([rows.filter("region = 'core'"), rows.filter("region <> 'core'")], path)
+    return geojson.read_masks(d.spark, path, merged=True).select("tile_id", "region", "detection_id", "area_m2", "score", "prompt")
 
 
-@query("select coord_1k, x0, y0, x1, y1 from grid")
+@query("select tile as coord_1k, coord_10k, x0, y0, x1, y1 from grid")
 def scan_grid(d: Domain) -> DataFrame:
-    """The grid as one document; a grid has as many rows as its area has km2."""
+    """The grid as one document per 10 km square; tiles without a square are in one by their own name."""
     folder = _folder(d, "grid")
-    features = d.grid.select(F.col("coord_1k").alias("COORD_1K"), F.col("coord_1k").alias("id"), _polygon(BOX).alias("geometry"), F.lit(1).alias("k"))
-    geojson.documents(features, ["k"]).select("document").coalesce(1).write.mode("overwrite").text(f"{folder}/text")
-    return geojson.read_grid(d.spark, f"{folder}/text").select("coord_1k", "x0", "y0", "x1", "y1")
+    features = d.grid.select(F.col("tile").alias("COORD_1K"), F.col("coord_10k").alias("COORD_10K"), F.col("tile").alias("id"), _polygon(BOX).alias("geometry"), F.coalesce("coord_10k", "tile").alias("k"))
+    geojson.documents(features, ["k"]).select("document").write.option("maxRecordsPerFile", 1).mode("overwrite").text(f"{folder}/text")
+    return geojson.read_grid(d.spark, f"{folder}/text").select("coord_1k", "coord_10k", "x0", "y0", "x1", "y1")
+
 
+#: Rows of one GeoPackage.
+PACKAGE_ROWS = 50_000
 
-def _packages(d: Domain, rows: DataFrame, layer: str, fields: list[tuple[str, str]], parts: int = 4) -> DataFrame:
-    """Rows (part, geom, fields...) as one GeoPackage per part, read as one table."""
+
+def _packages(d: Domain, rows: DataFrame, layer: str, fields: list[tuple[str, str]]) -> DataFrame:
+    """Rows (id, geom, fields...) as GeoPackages of about PACKAGE_ROWS rows, read as one table."""
     folder = _folder(d, layer)
     names = [n for n, _ in fields]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         path = f"{folder}/{int(pdf['part'].iloc[0])}.gpkg"
-        if os.path.exists(path):
-            os.remove(path)
-        n = geopackage.write(({k: (v.item() if hasattr(v, "item") else v) for k, v in r.items()} for r in pdf[["geom", *names]].to_dict("records")), path, layer, fields)
+        plain = lambda v: None if v is pd.NA or v != v else v.item() if hasattr(v, "item") else v
+        n = geopackage.write_whole(({k: plain(v) if k != "geom" else v for k, v in r.items()} for r in pdf[["geom", *names]].to_dict("records")), path, layer, fields)
         return pd.DataFrame({"n": [n]})
 
-    rows.groupBy("part").applyInPandas(run, "n long").agg(F.sum("n")).collect()
+    parts = max(1, -(-rows.count() // PACKAGE_ROWS))
+    rows.withColumn("part", F.pmod(F.xxhash64(names[0]), F.lit(parts))).groupBy("part").applyInPandas(run, "n long").agg(F.sum("n")).collect()
     d.spark.dataSource.register(geopackage.GeoPackage)
     return d.spark.read.format("geopackage").option("layer", layer).load(f"{folder}/*.gpkg")
 
 
 def _wkb_points(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        yield b.assign(geom=[wkb.write(("Point", [x, y])) for x, y in zip(b["x"], b["y"])])[["part", "pid", "geom"]]
+        yield b.assign(geom=[wkb.write(("Point", [x, y])) for x, y in zip(b["x"], b["y"])])[["pid", "geom"]]
 
 
 @query("select pid, x, y, cast(25831 as int) as srid from points")
 def scan_points(d: Domain) -> DataFrame:
-    points = d.points.select((F.col("pid") % 4).alias("part"), "pid", "x", "y").mapInPandas(_wkb_points, "part long, pid long, geom binary")
+    points = d.points.select("pid", "x", "y").mapInPandas(_wkb_points, "pid long, geom binary")
     read = _packages(d, points, "points", [("pid", "INTEGER")])
     return read.select("pid", F.col("x0").alias("x"), F.col("y0").alias("y"), F.coalesce("srid", F.lit(25831)).alias("srid"))
 
 
-def _wkb_boxes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _wkb_masks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        ring = lambda x0, y0, x1, y1: [[[x0, y0], [x1, y0], [x1, y1], [x0, y1], [x0, y0]]]
-        yield b.assign(geom=[wkb.write(("Polygon", ring(*s))) for s in zip(b["x0"], b["y0"], b["x1"], b["y1"])])[["part", "id", "score", "geom"]]
-
-
-def _annotated(d: Domain) -> DataFrame:
-    boxes = d.boxes.select((F.col("id") % 4).alias("part"), "id", "score", "x0", "y0", "x1", "y1").mapInPandas(_wkb_boxes, "part long, id long, score double, geom binary")
-    return _packages(d, boxes, "masks", [("id", "INTEGER"), ("score", "REAL")])
+        shapes = [[[[p["x"], p["y"]] for p in ring] for ring in polygon] for shape in b["shape"] for polygon in [shape[0]]] if all(len(s) == 1 for s in b["shape"]) else None
+        kinds = [("Polygon", s) for s in shapes] if shapes is not None else [("MultiPolygon", [[[[p["x"], p["y"]] for p in ring] for ring in polygon] for polygon in shape]) for shape in b["shape"]]
+        yield b.assign(geom=[wkb.write(k) for k in kinds]).drop(columns=["shape"])
 
 
 @query("select id, score, x0, y0, x1, y1 from boxes")
 def sink_merged_gpkg_geojson(d: Domain) -> DataFrame:
-    return _annotated(d).select("id", "score", "x0", "y0", "x1", "y1")
+    masks = d.masks.select("id", "score", "shape").mapInPandas(_wkb_masks, "id long, score double, geom binary")
+    return _packages(d, masks, "masks", [("id", "INTEGER"), ("score", "REAL")]).select("id", "score", "x0", "y0", "x1", "y1")
 
 
-@query("select id, score > 100000 as has_match from boxes")
+@query("select b.id, count(pid) filter (distance < 10) as points_inside, count(pid) filter (distance < 10) > 0 as has_match from boxes b left join nears n on n.id = b.id group by b.id")
 def sink_annotated_gpkg(d: Domain) -> DataFrame:
-    return _annotated(d).select("id", (F.col("score") > 100000).alias("has_match"))
+    """Masks written with what the proximity join found, and read back."""
+    found = metrics.mask_proximity(d.masks.select("id", "shape", "edges", *BOX.columns()), d.points, SNAP, SNAP, edges="edges")
+    rows = found.select("id", "points_inside", "has_match", "shape").mapInPandas(_wkb_masks, "id long, points_inside long, has_match boolean, geom binary")
+    return _packages(d, rows, "masks_with_proximity", [("id", "INTEGER"), ("points_inside", "INTEGER"), ("has_match", "BOOLEAN")]).select("id", "points_inside", "has_match")
 
 
-@query("select id, x0, y1 from boxes where cast(id as varchar) = '777'")
+@query("select id, x0, y1 from boxes where cast(id as varchar) = '42'")
 def scan_feature_by_id(d: Domain) -> DataFrame:
-    return _annotated(d).filter(F.col("id").cast("string") == "777").limit(1).select("id", "x0", "y1")
+    masks = d.masks.select("id", "shape").mapInPandas(_wkb_masks, "id long, geom binary")
+    return _packages(d, masks, "masks", [("id", "INTEGER")]).filter(F.col("id").cast("string") == "42").limit(1).select("id", "x0", "y1")
 
 
-@query("select fid, (x1 - x0) * (y1 - y0) as area from buildings where fid = 5")
+@query("select fid, (x1 - x0) * (y1 - y0) as area from plots where fid = 5")
 def scan_feature_json(d: Domain) -> DataFrame:
     """One building as a Feature document."""
     feature = F.to_json(F.struct(F.lit("Feature").alias("type"), F.from_json(_polygon(BOX), "type string, coordinates array<array<array<double>>>").alias("geometry"), F.struct("fid").alias("properties")))
     path = d.ws.path("feature")
-    d.buildings.filter("fid = 5").select(feature.alias("value")).write.mode("overwrite").text(path)
-    got = d.spark.read.option("wholetext", True).text(path).select(F.from_json("value", "geometry struct<coordinates:array<array<array<double>>>>, properties struct<fid:bigint>").alias("f"))
+    d.plots.filter("fid = 5").select(feature.alias("value")).write.mode("overwrite").text(path)
+    got = d.spark.read.text(path, wholetext=True).select(F.from_json("value", "geometry struct<coordinates:array<array<array<double>>>>, properties struct<fid:bigint>").alias("f"))
     ring = F.col("f.geometry.coordinates")[0]
     return got.filter("f is not null").select(F.col("f.properties.fid").alias("fid"), ((ring[2][0] - ring[0][0]) * (ring[2][1] - ring[0][1])).alias("area"))
 
 
-def _rasters(d: Domain) -> DataFrame:
-    """The pixels as one GeoTIFF per raster, read as chips."""
+def write_rasters(d: Domain) -> str:
+    """The pixels as one GeoTIFF per raster, in a folder."""
     folder = _folder(d, "rasters")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -193,7 +215,11 @@ def _rasters(d: Domain) -> DataFrame:
 
     ship(d.spark)
     d.pixels.groupBy("raster").applyInPandas(run, "name string").agg(F.count("*")).collect()
-    return geotiff.read_chips(d.spark, folder, (1,))
+    return folder
+
+
+def _rasters(d: Domain) -> DataFrame:
+    return geotiff.read_chips(d.spark, write_rasters(d), (1,))
 
 
 def _pixels_of(chips: DataFrame, rgb: bool) -> DataFrame:
@@ -242,14 +268,14 @@ def _small_or_large(url: str, timeout: float) -> bytes:
 @query("select fid, fid % 10 = 0 as fetched from buildings")
 def scan_wms_building(d: Domain) -> DataFrame:
     """Answers of under 1000 bytes are errors; here a stand-in answers for the service."""
-    asked = d.buildings.select("fid", F.concat(F.lit("http://a/"), F.col("fid").cast("string")).alias("request"))
+    asked = d.prosumers.select(F.col("pid").alias("fid")).select("fid", F.concat(F.lit("http://a/"), F.col("fid").cast("string")).alias("request"))
     return wms.fetched(asked, _small_or_large).select("fid", (F.col("content").isNotNull() & F.col("error").isNull()).alias("fetched"))
 
 
-@query("select coord_1k as name, 'EPSG:25831' as crs, x0, y0, x1, y1 from grid where tile % 3 <> 0")
+@query("select tile as name, 'EPSG:25831' as crs, x0, y0, x1, y1 from grid where geom_type = 'MultiPolygon'")
 def scan_wms_capabilities(d: Domain) -> DataFrame:
-    box = F.when(F.col("tile") % 3 != 0, F.format_string('<BoundingBox CRS="EPSG:25831" minx="%.1f" miny="%.1f" maxx="%.1f" maxy="%.1f"/>', "x0", "y0", "x1", "y1")).otherwise("")
-    document = F.concat(F.lit('<WMS xmlns="http://www.opengis.net/wms"><Layer><Name>'), F.col("coord_1k"), F.lit("</Name>"), box, F.lit("</Layer></WMS>"))
+    box = F.when(F.col("geom_type") == "MultiPolygon", F.format_string('<BoundingBox CRS="EPSG:25831" minx="%.1f" miny="%.1f" maxx="%.1f" maxy="%.1f"/>', "x0", "y0", "x1", "y1")).otherwise("")
+    document = F.concat(F.lit('<WMS xmlns="http://www.opengis.net/wms"><Layer><Name>'), F.col("tile"), F.lit("</Name>"), box, F.lit("</Layer></WMS>"))
     ship(d.spark)
     return wms.layers(d.grid.select(document.alias("content")))
 
@@ -271,48 +297,50 @@ def scan_modules(d: Domain) -> DataFrame:
     return d.spark.createDataFrame([(m,) for m in config.modules(folder)], "module string")
 
 
-@query("select distinct o_orderpriority as prompt from orders")
+@query(r"select distinct trim(prompt) as prompt from detections where trim(prompt) <> ''")
 def scan_text_prompts(d: Domain) -> DataFrame:
     path = d.ws.path("prompts")
-    lines = d.table("orders").select(F.explode(F.array(F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" ")), F.lit(""))).alias("value")).distinct()
+    lines = d.table("detections").filter("prompt is not null").select("prompt").distinct().select(F.explode(F.array(F.concat(F.lit("  "), F.col("prompt"), F.lit(" ")), F.lit(""))).alias("value"))
     lines.write.mode("overwrite").text(path)
-    return config.prompts(d.spark, path)
+    return config.prompts(d.spark, path).distinct()
 
 
-@query("select tile, (x1 - x0) as w, coord_1k from grid")
+@query("select tile, (x1 - x0) as w, coord_10k from grid")
 def sink_csv(d: Domain) -> DataFrame:
     path = d.ws.path("csv")
-    sinks.write_csv(d.grid.select("tile", BOX.width.alias("w"), "coord_1k"), path)
-    return d.spark.read.option("header", True).schema("tile long, w double, coord_1k string").csv(path)
+    sinks.write_csv(d.grid.select("tile", BOX.width.alias("w"), "coord_10k"), path)
+    return d.spark.read.option("header", True).schema("tile string, w double, coord_10k string").csv(path)
 
 
-@query("select tile, (x1 - x0) as w, coord_1k from grid")
+@query("select tile, (x1 - x0) as w, coord_10k from grid")
 def sink_json(d: Domain) -> DataFrame:
     path = d.ws.path("json")
-    sinks.write_json(d.grid.select("tile", BOX.width.alias("w"), "coord_1k"), path)
-    return d.spark.read.schema("tile long, w double, coord_1k string").json(path)
+    sinks.write_json(d.grid.select("tile", BOX.width.alias("w"), "coord_10k"), path)
+    return d.spark.read.schema("tile string, w double, coord_10k string").json(path)
 
 
-@query("select coord_1k as value from grid")
+@query("select tile as value from grid")
 def sink_text_ids(d: Domain) -> DataFrame:
     path = d.ws.path("lines")
-    sinks.write_lines(d.grid, "coord_1k", path)
+    sinks.write_lines(d.grid, "tile", path)
     return d.spark.read.text(path)
 
 
-@query("select printf('%6d', tile) || ' ' || coord_1k || '   ' as line from grid")
+@query("select lpad(cast(srid as varchar), 6, ' ') || ' ' || rpad(tile, 12, ' ') || ' ' || rpad(geom_type, 8, ' ') as line from grid")
 def sink_console(d: Domain) -> DataFrame:
-    return sinks.console(d.grid, {"tile": 6, "coord_1k": 8})
+    return sinks.console(d.grid, {"srid": 6, "tile": 12, "geom_type": 8})
 
 
 @query("select 'owlv2' as model, cast(count(*) as bigint) as detections from boxes")
 def sink_yaml_meta(d: Domain) -> DataFrame:
     path = f"{_folder(d, 'meta')}/run.yaml"
-    sinks.write_metadata({"model": "owlv2", "detections": d.boxes.count()}, path)
+    sinks.write_metadata({"model": "owlv2", "detections": d.detections.filter("edges is not null").count()}, path)
     return d.spark.createDataFrame([config.load(path)], "model string, detections long")
 
 
-@query("select printf('ortho_icgc_%.4f_%.4f_%dm', 40 + tile * 0.01::double, 1 + tile * 0.01::double, 1000) || '.tif' as file, cast(4 as bigint) as bytes from grid")
+@query("select printf('ortho_icgc_%.4f_%.4f_%dm', 40 + (y0 % 40000) / 1000000, 1 + (x0 % 50000) / 1000000, 1000) || '.tif' as file, cast(4 + length(tile) as bigint) as bytes from grid")
 def sink_image_bytes(d: Domain) -> DataFrame:
-    name = F.concat(wms.file_name(F.lit("icgc"), F.lit(40.0) + F.col("tile") * 0.01, F.lit(1.0) + F.col("tile") * 0.01, F.lit(1000)), wms.extension(wms.mime_type(F.lit("geotiff"))))
-    return sinks.write_images(d.grid.select(name.alias("file"), F.unhex(F.lit("49492A00")).alias("content")), _folder(d, "images"))
+    """One file per tile, named by its place and the service; its content is a TIFF's head and the tile's name."""
+    lat, lon = F.lit(40.0) + (F.col("y0") % 40000) / 1000000, F.lit(1.0) + (F.col("x0") % 50000) / 1000000
+    name = F.concat(wms.file_name(F.lit("icgc"), lat, lon, F.lit(1000)), wms.extension(wms.mime_type(F.lit("geotiff"))))
+    return sinks.write_images(d.grid.select(name.alias("file"), F.concat(F.unhex(F.lit("49492A00")), F.encode("tile", "UTF-8")).alias("content")), _folder(d, "images"))

@@ -226,7 +226,7 @@ def filter_status(d: Domain) -> DataFrame:
     return status("left_semi", "processed").unionByName(status("left_anti", "pending"))
 
 
-def _buildings_of(d: Domain, distance: float) -> DataFrame:
+def buildings_of(d: Domain, distance: float) -> DataFrame:
     """(l_id, r_fid): masks at most `distance` from a footprint."""
     masks = d.masks.select("id", EDGES, *BOX.columns())
     pairs = box_pairs(masks, d.buildings, grow=distance / 2, keep=Box("l_").gap(Box("r_")) <= distance)
@@ -249,12 +249,12 @@ NEAR_BOX = """with sides as (select fid, unnest([{{'ax': x0, 'ay': y0, 'bx': x1,
 @query(NEAR_BOX.format(d=2) + "select distinct id from hits")
 def filter_building(d: Domain) -> DataFrame:
     """Masks at most 2 m from a footprint."""
-    return _buildings_of(d, 2.0).select("id").distinct()
+    return buildings_of(d, 2.0).select("id").distinct()
 
 
 @query(NEAR_BOX.format(d=0) + "select distinct id from hits")
 def semi_building(d: Domain) -> DataFrame:
-    return d.masks.join(_buildings_of(d, 0.0), "id", "left_semi").select("id")
+    return d.masks.join(buildings_of(d, 0.0), "id", "left_semi").select("id")
 
 
 @query("select tile from grid where x0 <= 125500 and x1 >= 122500 and y0 <= 4519500 and y1 >= 4516500")
@@ -517,7 +517,7 @@ def agg_total_pv_area(d: Domain) -> DataFrame:
 
 @query(NEAR_BOX.format(d=0) + "select (select count(distinct id) from hits) as touching, (select count(*) from boxes) as total")
 def agg_intersect_count(d: Domain) -> DataFrame:
-    touching = _buildings_of(d, 0.0).select("id").distinct().withColumn("touching", F.lit(1))
+    touching = buildings_of(d, 0.0).select("id").distinct().withColumn("touching", F.lit(1))
     return d.boxes.select("id").join(touching, "id", "left").agg(F.count("touching").alias("touching"), F.count("*").alias("total"))
 
 

@@ -75,6 +75,12 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def listing(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder."""
+    fs, p = _filesystem(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     fs, p = _filesystem(spark, path)
     return int(fs.getContentSummary(p).getLength())

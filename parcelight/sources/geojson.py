@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelight.operators.rangesort import running_sums
+from parcelight.runtime import Workspace, listing, rename
+
 #: Features as they are written; older files have mask_id and avg_score.
 FEATURES = "type string, crs struct<type:string,properties:struct<name:string>>, metadata map<string,string>, features array<struct<type:string,geometry:struct<type:string,coordinates:string>,properties:map<string,string>>>"
 _PROPERTIES = {"detection_id": "int", "area_m2": "double", "score": "double", "prompt": "string", "crs": "string", "region": "string", "tile_id": "string"}
@@ -27,7 +32,7 @@ def read_masks(spark: SparkSession, folder: str, tile_id: str | None = None, mer
     hold no features, have no rows. A missing property is null; a missing CRS
     is 25831. File lists and names are pruned before any file is read.
     """
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.geojson").text(folder).select("value", F.col("_metadata.file_path").alias("path"))
+    files = spark.read.option("pathGlobFilter", "*.geojson").text(folder, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
     name = stem(F.col("path"))
     files = files.withColumn("source_file", name)
     if not merged:
@@ -52,7 +57,7 @@ def read_masks(spark: SparkSession, folder: str, tile_id: str | None = None, mer
 
 def read_grid(spark: SparkSession, path: str, key: str = "COORD_1K") -> DataFrame:
     """Tiles of a GeoJSON grid: coord_1k, coord_10k, geom_type and bounds x0, y0, x1, y1. A grid without the key column is refused."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     features = text.select(F.explode(F.from_json("value", FEATURES)["features"]).alias("f"))
     if features.filter(F.map_contains_key("f.properties", key)).isEmpty() and not features.isEmpty():
         raise ValueError(f"the grid has no column {key}")
@@ -71,15 +76,14 @@ def collection(features: list[dict], srid: int = 25831, metadata: dict | None =
     return out | ({"metadata": metadata} if metadata is not None else {})
 
 
-def numbered(masks: DataFrame) -> DataFrame:
+def numbered(ws: Workspace, masks: DataFrame) -> DataFrame:
     """Masks (tile_id, region, score, id, geometry, area_m2, prompt) with detection_id from 0 per tile and region, by score and id, and rounded figures.
 
-    Empty geometries take a number, and are left out only when written.
+    Empty geometries take a number, and are left out only when written. A hot
+    tile is numbered by many tasks.
     """
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("tile_id", "region").orderBy(F.desc("score"), "id")
-    return masks.withColumns({"detection_id": F.row_number().over(order) - 1, "area_m2": F.round("area_m2", 2), "score": F.round("score", 3)})
+    placed = running_sums(ws, masks.withColumn("one", F.lit(1)), ["tile_id", "region"], [F.desc("score"), "id"], "one", "numbered").drop("one", "total")
+    return placed.withColumns({"detection_id": (F.col("running") - 1).cast("int"), "area_m2": F.round("area_m2", 2), "score": F.round("score", 3)}).drop("running")
 
 
 def write_tiles(masks: DataFrame, folder: str, srid: int = 25831) -> DataFrame:
@@ -96,7 +100,7 @@ def write_tiles(masks: DataFrame, folder: str, srid: int = 25831) -> DataFrame:
         features = [_feature(r, r["geometry"], names) for r in rows if r["geometry"]]
         name = f"{rows[0]['tile_id']}_{rows[0]['region']}.geojson"
         os.makedirs(folder, exist_ok=True)
-        part = os.path.join(folder, f".{name}.{os.getpid()}")
+        part = os.path.join(folder, f".{name}.{uuid.uuid4().hex}")
         with open(part, "w") as f:
             json.dump(collection(features, srid), f, ensure_ascii=False, default=lambda v: v.item())
         os.replace(part, os.path.join(folder, name))
@@ -105,12 +109,58 @@ def write_tiles(masks: DataFrame, folder: str, srid: int = 25831) -> DataFrame:
     return masks.groupBy("tile_id", "region").applyInPandas(run, "file string, features int")
 
 
-def write_merged(parts: list[DataFrame], path: str) -> None:
-    """All features of several tables as one sorted table in Parquet, the form that scales; columns are aligned by name."""
+def write_empty(tiles: DataFrame, folder: str, region: str = "core") -> int:
+    """Writes a file without features for each tile (tile_id); returns their number."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            os.makedirs(folder, exist_ok=True)
+            for tile in b["tile_id"]:
+                part = os.path.join(folder, f".{tile}.{uuid.uuid4().hex}")
+                with open(part, "w") as f:
+                    json.dump(collection([]), f)
+                os.replace(part, os.path.join(folder, f"{tile}_{region}.geojson"))
+            yield pd.DataFrame({"n": [len(b)]})
+
+    return int(tiles.select("tile_id").mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+
+
+#: Features of one merged file.
+MERGED_FEATURES = 200_000
+
+
+def write_merged(parts: list[DataFrame], folder: str, srid: int = 25831) -> int:
+    """All features of several tables in GeoJSON files `<n>_merged.geojson` of about MERGED_FEATURES, sorted by tile and region; returns the number of files.
+
+    Columns are aligned by name. A file is written line by line by one task, so
+    no document is held in memory; features without a geometry are left out.
+    """
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    out.repartitionByRange("tile_id", "region").sortWithinPartitions("tile_id", "region", "detection_id").write.mode("overwrite").parquet(path)
+    spark = out.sparkSession
+    props = [c for c in out.columns if c not in ("geometry", "id")]
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), F.try_parse_json("geometry").alias("geometry"), F.struct(*props).alias("properties")), {"ignoreNullFields": "false"})
+    rows = out.filter("geometry is not null")
+    files = max(1, -(-rows.count() // MERGED_FEATURES))
+    ordered = rows.repartitionByRange(files, "tile_id", "region", "detection_id").sortWithinPartitions("tile_id", "region", "detection_id").select(feature.alias("value"))
+    head = json.dumps(collection([], srid)).removesuffix("]}")
+
+    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first = True
+        for b in batches:
+            out = [("" if first and i == 0 else ",") + v for i, v in enumerate(b["value"])]
+            if first and out:
+                out, first = [head, *out], False
+            yield pd.DataFrame({"value": out})
+        if not first:
+            yield pd.DataFrame({"value": ["]}"]})
+
+    ordered.mapInPandas(lines, "value string").write.mode("overwrite").text(folder)
+    written = sorted(f for f in listing(spark, folder) if f.endswith(".txt"))
+    for i, name in enumerate(written):
+        rename(spark, f"{folder}/{name}", f"{folder}/{i:05d}_merged.geojson")
+    return len(written)
 
 
 def building_features(kept: DataFrame, building: Column | str, negatives: DataFrame | None = None, per: list[str] | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Field sizes and codes of the TIFF format, and its tags.
 _SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
@@ -139,11 +140,12 @@ def write(raster: Raster, deflate: bool = True) -> bytes:
     return b"II*\0" + struct.pack("<I", at) + body + struct.pack("<H", len(tags)) + entries + struct.pack("<I", 0) + extra
 
 
-def read_chips(spark: SparkSession, path: str, bands: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+def read_chips(spark: SparkSession, path: str, bands: tuple[int, ...] = (1, 2, 3), only: DataFrame | None = None) -> DataFrame:
     """One row per file: raster_id (its name), bands, height, width, transform (six doubles), srid, dtype, data (by bands and rows) and error.
 
     Asked bands that a file doesn't have are left out. A file that can't be
     read has an error and no data. A row holds one raster, as acquired by tile.
+    With `only` (tile_id), files of other names are left out.
     """
     schema = "raster_id string, bands int, height int, width int, transform array<double>, srid int, dtype string, data binary, error string"
 
@@ -162,4 +164,7 @@ def read_chips(spark: SparkSession, path: str, bands: tuple[int, ...] = (1, 2, 3
             yield frame.astype({k: "Int32" for k in ("bands", "height", "width", "srid")})
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
+    if only is not None:
+        name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.tiff?$", "")
+        files = files.withColumn("tile_id", name).join(only.select("tile_id"), "tile_id", "left_semi").select("path", "content")
     return files.mapInPandas(run, schema)

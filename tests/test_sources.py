@@ -50,10 +50,10 @@ def test_geojson_folder(spark, tmp_path):
     assert [r.tile_id for r in geojson.pending(tiles, done, donuts=False).collect()] == ["T3"]
 
 
-def test_geojson_is_written_per_tile_and_read_again(spark, tmp_path):
+def test_geojson_is_written_per_tile_and_read_again(spark, ws, tmp_path):
     shape = json.dumps({"type": "Polygon", "coordinates": SQUARE})
     masks = spark.createDataFrame([("T1", "core", 1, 16.004, 0.1234, "p", shape), ("T1", "core", 2, 1.0, 0.9, "q", None), ("T1", "donut", 3, 2.0, None, None, shape)], "tile_id string, region string, id long, area_m2 double, score double, prompt string, geometry string")
-    written = {r.file: r.features for r in geojson.write_tiles(geojson.numbered(masks), str(tmp_path / "out")).collect()}
+    written = {r.file: r.features for r in geojson.write_tiles(geojson.numbered(ws, masks), str(tmp_path / "out")).collect()}
     assert written == {"T1_core.geojson": 1, "T1_donut.geojson": 1}
     back = {r.source_file: r for r in geojson.read_masks(spark, str(tmp_path / "out")).collect()}
     core = back["T1_core.geojson"]
@@ -251,3 +251,19 @@ def test_stream_of_results(spark, tmp_path):
     spark.createDataFrame([(2, "B", 1.0, day), (3, "A", 5.0, day)], schema).coalesce(1).write.mode("append").parquet(source)
     run()
     assert {r.tile_id: (r.polygon_count, r.total_area_m2) for r in ingest.summary(spark, out).collect()} == {"A": (2, 7.0), "B": (1, 1.0)}
+
+
+def test_a_document_of_several_lines(spark, tmp_path):
+    document = geojson.collection([{"type": "Feature", "geometry": {"type": "Polygon", "coordinates": SQUARE}, "properties": {"tile_id": "T", "score": 0.5}}])
+    (tmp_path / "T_core.geojson").write_text(json.dumps(document, indent=2))
+    assert [(r.tile_id, r.score) for r in geojson.read_masks(spark, str(tmp_path)).collect()] == [("T", 0.5)]
+
+
+def test_merged_files_hold_every_feature(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(geojson, "MERGED_FEATURES", 30)
+    shape = json.dumps({"type": "Polygon", "coordinates": SQUARE})
+    rows = spark.createDataFrame([(f"T{i % 7}", "core", i, shape if i else None) for i in range(100)], "tile_id string, region string, detection_id int, geometry string")
+    assert geojson.write_merged([rows.limit(0), rows], str(tmp_path / "m")) > 1
+    for p in (tmp_path / "m").glob("*.geojson"):
+        json.loads(p.read_text())
+    assert sorted(r.detection_id for r in geojson.read_masks(spark, str(tmp_path / "m"), merged=True).collect()) == list(range(1, 100))
