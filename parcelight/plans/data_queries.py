@@ -55,7 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_SQL, "p3_found": P3_SQL, "p3_consolidated": P3_KEPT_SQL}
+    return {"p2_found": P2_SQL, "p3_found": P3_SQL, "p3_consolidated": P3_KEPT_SQL, "p6_found": P6_SQL, "p6_log": P6_LOG_SQL}
 
 
 #: All pairs within one distance, by grid cells of that size.
@@ -93,3 +93,41 @@ with f as (
 """
 P3_SQL = _P3_FEATURES + "select file_id, feature_no from r where place > 1"
 P3_KEPT_SQL = _P3_FEATURES + "select file_id, feature_no, tile_id, region, detection_id, area_m2, score, prompt, crs, cast(null as varchar) as rest from r where place = 1"
+
+#: Changes by the definitions: fields of neighbours, and for pairs of a gone and a new one all common detections.
+_P6_CHANGES = r"""
+with r as (
+  select distinct export_id, rec_no, payload from model_exports where json_valid(payload) and json_type(payload) = 'OBJECT'
+), f as (
+  select export_id, payload ->> '$.detection_id' as k, j.key as field, j.value as v, case when j.type = 'VARCHAR' then 'string' when j.type = 'BOOLEAN' then 'boolean' when j.type = 'ARRAY' then 'array' when j.type = 'OBJECT' then 'object' else 'number' end as t
+  from r, json_each(r.payload) j where j.type <> 'NULL'
+), h as (
+  select export_id, field, case when count(distinct t) = 1 then min(t) else 'string' end as t from f group by all
+), e as (
+  select export_id, building_id, module, run_no, lag(export_id) over (partition by building_id, module order by run_no, export_id) as before from (select distinct export_id, building_id, module, run_no from model_exports)
+), gone as (
+  select e.export_id, h.field, h.t from e join h on h.export_id = before where not exists (select 1 from h n where n.export_id = e.export_id and n.field = h.field)
+), new as (
+  select e.export_id, h.field, h.t from e join h on h.export_id = e.export_id where before is not null and not exists (select 1 from h o where o.export_id = before and o.field = h.field)
+), p as (
+  select export_id, k, field, case when t = 'array' and json_array_length(v) = 1 then v ->> '$[0]' when t = 'object' then coalesce(v ->> '$.value', v ->> '$') else v ->> '$' end as x from f where field <> 'detection_id'
+), c as (
+  select export_id, k, field, case when regexp_full_match(trim(x), '[+-]?([0-9]+([.,][0-9]*)?|[.,][0-9]+)([eE][+-]?[0-9]+)?') then 'n' || cast(cast(replace(trim(x), ',', '.') as double) as varchar) else 's' || x end as x from p where x is not null and k is not null
+), agreed as (
+  select e.export_id, a.field as old_field, b.field as new_field, g.t as old_t, n.t as new_t, count(distinct a.k) as n
+  from e join gone g on g.export_id = e.export_id join new n on n.export_id = e.export_id join c a on a.export_id = e.before and a.field = g.field join c b on b.export_id = e.export_id and b.field = n.field and b.k = a.k
+  group by all having bool_and(a.x = b.x)
+), ranked as (
+  select *, row_number() over (partition by export_id, old_field order by n desc, old_field, new_field) as po, row_number() over (partition by export_id, new_field order by n desc, old_field, new_field) as pn from agreed
+), renamed as (
+  select * from ranked where po = 1 and pn = 1
+), changes as (
+  select export_id, 'renamed' as change, old_field, new_field from renamed
+  union all select export_id, 'removed', field, '' from gone g where not exists (select 1 from renamed r where r.export_id = g.export_id and r.old_field = g.field)
+  union all select export_id, 'added', '', field from new n where not exists (select 1 from renamed r where r.export_id = n.export_id and r.new_field = n.field)
+  union all select export_id, 'retyped', old_field, new_field from renamed where old_t <> new_t
+  union all select e.export_id, 'retyped', o.field, o.field from e join h o on o.export_id = before join h n on n.export_id = e.export_id and n.field = o.field where o.t <> n.t
+)
+"""
+P6_SQL = _P6_CHANGES + "select * from changes"
+P6_LOG_SQL = _P6_CHANGES + "select building_id, module, run_no, changes.* from changes join e using (export_id)"

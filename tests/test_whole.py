@@ -1,10 +1,11 @@
-"""Queries give all rows of their input, over tables larger than those of the comparison with SQL."""
+"""Queries give all rows of their input, over whole tables and against plain Python."""
 
 from __future__ import annotations
 
 import pytest
 
 from parcelight.plans import detection_queries, source_queries, vector_queries
+from parcelight.plans.domain import Domain
 
 from .conftest import DATA
 
@@ -12,43 +13,56 @@ RUNS = {k: v for m in (vector_queries, detection_queries, source_queries) for k,
 
 
 @pytest.fixture(scope="module")
-def suppliers(spark, tmp_path_factory) -> str:
-    """A folder whose supplier table has the keys 0 to 249."""
+def masks(spark):
+    return Domain(spark, DATA).detections.filter("edges is not null").select("id", "tile", "region", "prompt", "score").collect()
+
+
+def test_every_supplier_is_a_plot(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("suppliers"))
     spark.range(250).selectExpr("id as s_suppkey", "cast(id % 25 as int) as s_nationkey", "cast(id as double) as s_acctbal").write.parquet(f"{folder}/supplier.parquet")
-    return folder
+    assert sorted({r.id for r in RUNS["raster_rasterize"](spark, folder).select("id").collect()}) == list(range(250))
 
 
-@pytest.mark.parametrize(("name", "key", "each"), [("cross_model_input", "fid", 3), ("skip_list", "fid", 2), ("scan_wms_building", "fid", 1), ("raster_rasterize", "id", None)])
-def test_every_supplier_is_a_building(spark, suppliers, name, key, each):
-    keys = [r[0] for r in RUNS[name](spark, suppliers).select(key).collect()]
-    assert sorted(set(keys)) == list(range(250))
-    assert each is None or len(keys) == 250 * each
+@pytest.mark.parametrize(("name", "each"), [("cross_model_input", 4), ("skip_list", 3), ("scan_wms_building", 1)])
+def test_every_located_prosumer_has_a_building(spark, name, each):
+    want = sorted(r.pid for r in Domain(spark, DATA).prosumers.select("pid").collect())
+    got = sorted(r.fid for r in RUNS[name](spark, DATA).select("fid").collect())
+    assert got == sorted(want * each)
 
 
 @pytest.mark.parametrize("name", ["sort_score", "sort_score_np"])
-def test_sort_score_places_every_box(spark, name):
+def test_sort_score_places_every_box(spark, masks, name):
     rows = RUNS[name](spark, DATA).collect()
-    boxes = [(r.o_orderkey, r.o_totalprice) for r in spark.read.parquet(f"{DATA}/orders.parquet").select("o_orderkey", "o_totalprice").collect()]
-    assert len(boxes) > 100
-    assert [(r.id, r.score) for r in rows] == sorted(boxes, key=lambda b: (-b[1], b[0]))
-    assert [r.place for r in rows] == list(range(1, len(boxes) + 1))
+    want = sorted(((m.id, m.score) for m in masks), key=lambda b: (b[1] is None, -(b[1] or 0), b[0]))
+    assert [(r.id, r.score) for r in rows] == want and [r.place for r in rows] == list(range(1, len(want) + 1))
+
+
+def test_sort_files_gives_every_file(spark):
+    tiles = [r.coord_1k for r in spark.read.parquet(f"{DATA}/tiles.parquet").collect()]
+    assert [r.file for r in RUNS["sort_files"](spark, DATA).collect()] == sorted(f"{t}_core" for t in tiles)
 
 
-def test_sort_files_gives_every_file(spark, suppliers):
-    assert [r.file for r in RUNS["sort_files"](spark, suppliers).collect()] == [f"T{k:04d}_core" for k in range(250)]
+def test_union_features_appends_every_tile(spark, masks):
+    assert sorted(r.id for r in RUNS["union_features"](spark, DATA).collect()) == sorted(m.id for m in masks)
 
 
-def test_union_features_appends_every_tile(spark):
-    keys = sorted(r[0] for r in spark.read.parquet(f"{DATA}/orders.parquet").select("o_orderkey").collect())
-    assert sorted(r.id for r in RUNS["union_features"](spark, DATA).collect()) == keys
+def test_deliveries_count_once_and_dirt_has_its_meaning(spark):
+    from datetime import datetime
 
+    from parcelight.plans.domain import masks_of
 
-def test_phase_features_are_numbered_in_every_building(spark):
-    rows = RUNS["sink_geojson_phase"](spark, DATA).collect()
-    boxes = spark.read.parquet(f"{DATA}/orders.parquet").select("o_orderkey", "o_totalprice", "o_orderpriority").collect()
-    expected, numbers = [], {}
-    for low, key, score in sorted((b.o_orderpriority == "5-LOW", b.o_orderkey, b.o_totalprice) for b in boxes):
-        no = numbers[key % 100] = numbers.get(key % 100, -1) + 1
-        expected.append((f"B{key % 100}_{no:04d}", "negative_mask" if low else "pv", score))
-    assert sorted((r.id, r.type, r.score) for r in rows) == sorted(expected)
+    day = lambda n: datetime(2025, 1, n)
+    square = "POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))"
+    rows = [
+        (1, "T", "CORE ", 4.0, 0.5, "A  b.", "f", square, day(1), day(2)),
+        (1, "T", "CORE ", 4.0, 0.5, "A  b.", "g", square, day(1), day(9)),
+        (2, None, None, float("nan"), 1.5, None, None, "POLYGON EMPTY", day(1), day(2)),
+        (3, "T", "core", -1.0, float("nan"), "x", "f", None, None, None),
+        (4, "T", "core", float("inf"), -0.1, "x", "f", "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((5 5, 7 5, 7 7, 5 7)))", day(1), day(2)),
+        (None, "T", "core", 1.0, 0.5, "x", "f", square, day(1), day(2)),
+    ]
+    schema = "detection_id long, tile_id string, region string, area_m2 double, score double, prompt string, source_file string, geometry string, detected_at timestamp_ntz, ingested_at timestamp_ntz"
+    df = masks_of(spark.createDataFrame(rows, schema))
+    got = {r.id: (r.tile, r.region, r.prompt, r.score, r.area_m2, r.source_file, r.area) for r in df.collect()}
+    assert got == {1: ("T", "core", "a b", 0.5, 4.0, "f", 4.0), 2: ("none", None, None, None, None, None, None), 3: ("T", "core", "x", None, None, "f", None), 4: ("T", "core", "x", None, None, "f", 4.5)}
+    assert masks_of(spark.createDataFrame([], schema)).count() == 0
