@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelight.functions.boxes import Box, cells
-from parcelight.functions.polygons import Edges, _ragged, _runs, gap_of, meets_of
+from parcelight.functions.polygons import Edges, _area_kernel, _floats, _ragged, _runs, _strips, each_pair, gap_of, meets_of
 
 #: Side of the smallest cells. Boxes of up to SPREAD sides lie in cells of their level; a level's cells have STEP times the side of those of the one below.
 CELL, SPREAD, STEP, LEVELS = 128.0, 4, 8, 12
@@ -110,12 +110,33 @@ def _found(rows: pa.RecordBatch, within: int, grow: float) -> Iterator[tuple[np.
             yield from both(part(-1, a), part(1, b))
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], key: list[str], least: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about `least` rows or more, of rows sorted by `key`, that end with the last row of a group."""
+    held, n = [], 0
+    for b in batches:
+        if not len(b):
+            continue
+        held.append(b)
+        n += len(b)
+        last = [(c, b.column(c)[len(b) - 1]) for c in key]
+        if n < least or all(held[0].column(c)[0] == v for c, v in last):
+            continue  # also a crowded group, which goes on
+        whole = pa.concat_batches(held)
+        same = reduce(pc.and_, (pc.equal(whole.column(c), v) for c, v in last))
+        n = pc.sum(same).as_py()
+        yield whole.slice(0, len(whole) - n)
+        held = [whole.slice(len(whole) - n)]
+    if held:
+        yield pa.concat_batches(held)
+
+
 def near_pairs(left: DataFrame, right: DataFrame | None, compare: Compare, schema: str, within: list[str] = (), grow: float = 0.0) -> DataFrame:
     """What `compare` keeps of the pairs of a left and a right box that touch when each is grown by `grow`.
 
-    Both tables have x0, y0, x1, y1, the columns of `within`, which must be
-    equal, and those that `compare` reads, of the same names and types. With
-    right None the pairs are those of the left table, each in any order, once.
+    Both tables have x0, y0, x1, y1 and the columns of `within`, which must be
+    equal. Further columns go to `compare`, null where a table has none of the
+    name. With right None the pairs are those of the left table, each in any
+    order, once.
     Null coordinates and a null in `within` meet nothing. A cell is compared in
     one task, so what a task holds grows with the most crowded cell.
     """
@@ -124,39 +145,18 @@ def near_pairs(left: DataFrame, right: DataFrame | None, compare: Compare, schem
     sides = [(left, right, -1), (right, left, 1)] if right is not None else [(left, left, 0)]
     tables = [_placed(df.filter(known), other.filter(known), grow, within).withColumn("_side", F.lit(s)) for df, other, s in sides]
     key = ["_lv", "_cx", "_cy"]
-    rest = [c for c in tables[0].columns if c not in within]
-    rows = reduce(DataFrame.unionByName, tables).select(*within, *rest)
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    rows = rows.select(*within, *[c for c in rows.columns if c not in within])
     order = rows.repartition(*within, *key).sortWithinPartitions(*key, *within)
     k = len(within)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def pairs(whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for whole in whole_groups(batches, [*within, *key], ROWS):
             for i, j in _found(whole, k, grow):
                 out = compare(whole, i, j)
                 if len(out):
                     yield out
 
-        n = 0
-        for b in batches:
-            if not len(b):
-                continue
-            held.append(b)
-            n += len(b)
-            if n < ROWS:
-                continue
-            last = [b.column(c)[len(b) - 1] for c in [*within, *key]]
-            if all(held[0].column(c)[0] == v for c, v in zip([*within, *key], last)):
-                continue  # a crowded cell, which goes on
-            whole = pa.concat_batches(held)
-            same = reduce(pc.and_, (pc.equal(whole.column(c), v) for c, v in zip([*within, *key], last)))
-            cut = len(whole) - pc.sum(same).as_py()
-            yield from pairs(whole.slice(0, cut))
-            held, n = [whole.slice(cut)], len(whole) - cut
-        if held:
-            yield from pairs(pa.concat_batches(held))
-
     return order.mapInArrow(run, schema)
 
 
@@ -166,10 +166,43 @@ def gaps(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return np.hypot(*(np.maximum(np.maximum(low[i] - high[j], low[j] - high[i]), 0.0) for low, high in ((x0, x1), (y0, y1))))
 
 
+def overlaps(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Areas that both boxes i and j cover."""
+    x0, y0, x1, y1 = (rows.column(k).to_numpy() for k in _SIDES)
+    side = lambda low, high: np.maximum(np.minimum(high[i], high[j]) - np.maximum(low[i], low[j]), 0.0)
+    return side(x0, x1) * side(y0, y1)
+
+
+def areas(rows: pa.RecordBatch, edges: str | None = None) -> np.ndarray:
+    """Areas of the boxes; with `edges`, those inside them, NaN where a row has none."""
+    x0, y0, x1, y1 = (rows.column(k) for k in _SIDES)
+    if edges:
+        return _floats(_area_kernel(rows.column(edges), x0, y0))
+    return (x1.to_numpy() - x0.to_numpy()) * (y1.to_numpy() - y0.to_numpy())
+
+
+def shape_overlaps(rows: pa.RecordBatch, edges: str, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Areas that lie inside the edges of both; NaN where one has none."""
+    x0, y0 = (rows.column(k).to_numpy() for k in ("x0", "y0"))
+    a, b = edges_at(rows, edges, i), edges_at(rows, edges, j)
+    return np.where(a.valid & b.valid, each_pair(a, b, _strips, np.minimum(x0[i], x0[j]), np.minimum(y0[i], y0[j])), np.nan)
+
+
 def edges_at(rows: pa.RecordBatch, edges: str, i: np.ndarray) -> Edges:
     return Edges(rows.column(edges).take(pa.array(i)))
 
 
+def within_distance(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray, distance: float, edges: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs that are at most `distance` apart."""
+    near = gaps(rows, i, j) <= distance
+    i, j = i[near], j[near]
+    if edges:
+        a, b = edges_at(rows, edges, i), edges_at(rows, edges, j)
+        near = (gap_of(a, b) <= distance if distance else meets_of(a, b)) & a.valid & b.valid
+        i, j = i[near], j[near]
+    return i, j
+
+
 def near_shapes(left: DataFrame, right: DataFrame, distance: float, edges: str | None = None) -> DataFrame:
     """(id, other): ids of the left and right rows (id, x0, y0, x1, y1) at most `distance` apart; with `edges`, a column of edges, the areas inside them."""
     kept = ["id", *_SIDES, *([edges] if edges else [])]
@@ -177,12 +210,18 @@ def near_shapes(left: DataFrame, right: DataFrame, distance: float, edges: str |
     kind = left.select("id").unionAll(right.select("id")).dtypes[0][1]
 
     def compare(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
-        near = gaps(rows, i, j) <= distance
-        i, j = i[near], j[near]
-        if edges:
-            a, b = edges_at(rows, edges, i), edges_at(rows, edges, j)
-            near = (gap_of(a, b) <= distance if distance else meets_of(a, b)) & a.valid & b.valid
-            i, j = i[near], j[near]
+        i, j = within_distance(rows, i, j, distance, edges)
         return pa.RecordBatch.from_arrays([rows.column("id").take(pa.array(i)), rows.column("id").take(pa.array(j))], ["id", "other"])
 
     return near_pairs(left, right, compare, f"id {kind}, other {kind}", grow=distance / 2)
+
+
+def rows_near(left: DataFrame, right: DataFrame, distance: float, edges: str | None = None) -> DataFrame:
+    """The left rows (id, x0, y0, x1, y1, ...) at most `distance` from a right one, each once; ids are unique."""
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in left.dtypes)
+
+    def compare(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        return rows.select(names).take(pa.array(np.unique(within_distance(rows, i, j, distance, edges)[0])))
+
+    names = left.columns
+    return near_pairs(left, right.select(*_SIDES, *([edges] if edges else [])), compare, schema, grow=distance / 2).dropDuplicates(["id"])

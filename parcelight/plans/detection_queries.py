@@ -310,7 +310,7 @@ def pipeline_phase3(d: Domain) -> DataFrame:
 
 @query(_sql(_HITS.format(d=0), _where("boxes", "two", "id in (select id from hits) and area between 0.5 and 2000"), _nms_sql("two", "last", 0.5)))
 def pipeline_phase4(d: Domain) -> DataFrame:
-    return pipelines.phase4(d.ws, d.masks, d.buildings, ["tile"]).select("id")
+    return pipelines.phase4(d.ws, d.masks.select("id", "tile", "score", "x0", "y0", "x1", "y1", "area", "edges"), d.buildings, ["tile"]).select("id")
 
 
 # --- detectors --------------------------------------------------------------------------

@@ -7,12 +7,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelight.functions import polygons
 from parcelight.functions.boxes import Box
+from parcelight.functions import polygons
 from parcelight.operators.spatial import box_pairs
+from parcelight.operators.sweep import near_pairs, near_shapes, overlaps, rows_near, shape_overlaps
 from parcelight.operators.suppress import dissolved, nms
 from parcelight.runtime import Workspace
 
@@ -53,11 +56,7 @@ def by_occupancy(df: DataFrame, limits: Limits) -> DataFrame:
 
 def by_building(df: DataFrame, buildings: DataFrame, distance: float = 0.0) -> DataFrame:
     """Detections at most `distance` from a footprint, by the edges of both if they have them."""
-    pairs = box_pairs(df.select("id", "x0", "y0", "x1", "y1", *([_edges(df)] if _edges(df) else [])), buildings, grow=distance / 2, keep=Box("l_").gap(Box("r_")) <= distance)
-    if _edges(df):
-        a, b = F.col("l_edges"), F.col("r_edges")
-        pairs = pairs.filter(polygons.gap(a, b) <= distance if distance else polygons.meets(a, b))
-    return df.join(pairs.select(F.col("l_id").alias("id")), "id", "left_semi")
+    return rows_near(df, buildings, distance, _edges(df))
 
 
 def langsam_tile(ws: Workspace, df: DataFrame, limits: Limits, within: list[str]) -> DataFrame:
@@ -98,4 +97,5 @@ def phase3(df: DataFrame, negatives: DataFrame, buildings: DataFrame, within: li
 
 def phase4(ws: Workspace, df: DataFrame, buildings: DataFrame, within: list[str], iou: float = 0.5, low: float = 0.5, high: float = 2000.0) -> DataFrame:
     """Building, area, suppression."""
-    return nms(ws, by_building(df, buildings).filter(_area(df).between(low, high)), iou, within, edges=_edges(df))
+    near = ws.write(by_building(df.filter(_area(df).between(low, high)), buildings), "near")
+    return nms(ws, near, iou, within, edges=_edges(df))
