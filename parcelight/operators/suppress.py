@@ -6,15 +6,17 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelight.functions.boxes import Box, cells
+import pandas as pd
 from parcelight.functions import polygons
-from parcelight.functions.boxes import Box
-from parcelight.operators.components import components, hot_keys, spread_join
 from parcelight.operators.spatial import box_pairs
+from parcelight.operators.components import components, hot_keys, roots, spread_join
+from parcelight.operators.sweep import CELL, ROWS, areas, near_pairs, overlaps, shape_overlaps, whole_groups, within_distance
+from parcelight.operators.unions import union_areas
 from parcelight.runtime import Workspace
 
 
@@ -36,17 +38,27 @@ def nms(ws: Workspace, boxes: DataFrame, threshold: float, within: list[str] = (
     if mode not in ("greedy", "index_guard"):
         raise ValueError(mode)
     slim = boxes.select("id", *within, "x0", "y0", "x1", "y1", F.coalesce("score", F.lit(-math.inf)).alias("score"), *([edges] if edges else []))
-    above = (F.col("l_score") > F.col("r_score")) | ((F.col("l_score") == F.col("r_score")) & (F.col("l_id") < F.col("r_id")))
-    if mode == "index_guard":
-        above &= F.col("l_id") < F.col("r_id")
-    pairs = box_pairs(slim, slim, within, keep=above)
-    if edges:
-        common = polygons.overlap(F.col(f"l_{edges}"), F.col(f"r_{edges}"), F.least("l_x0", "r_x0"), F.least("l_y0", "r_y0"))
-        area = lambda p: polygons.area(F.col(p + edges), F.col(p + "x0"), F.col(p + "y0"))
-        pairs = pairs.filter(Box("l_").overlap(Box("r_")) > 0).withColumns({"_i": common, "_a": area("l_"), "_b": area("r_")}).filter(F.col("_i") > threshold * (F.col("_a") + F.col("_b") - F.col("_i")))
-    else:
-        pairs = pairs.filter(Box("l_").iou_above(Box("r_"), threshold))
-    open_, n = ws.write_counting(pairs.select(F.col("l_id").alias("w"), F.col("l_score").alias("score"), F.col("r_id").alias("l")), f"{name}-pairs", "true")
+    kind = dict(slim.dtypes)
+
+    def compare(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        ids, score, common = rows.column("id").to_numpy(), rows.column("score").to_numpy(), overlaps(rows, i, j)
+        score = np.where(np.isnan(score), np.inf, score)  # as Spark sorts it
+        area = areas(rows, edges)
+        # The boxes' common area is at least that of the shapes.
+        near = (common > 0) & (common * (1 + 1e-6) + 1e-6 > threshold * (area[i] + area[j] - common)) if edges else common > threshold * (area[i] + area[j] - common)
+        i, j = i[near], j[near]
+        if edges:
+            common = shape_overlaps(rows, edges, i, j)
+            near = common > threshold * (area[i] + area[j] - common)
+            i, j = i[near], j[near]
+        turned = (score[j] > score[i]) | ((score[i] == score[j]) & (ids[j] < ids[i]))
+        w, l = np.where(turned, j, i), np.where(turned, i, j)
+        ranked = ids[w] < ids[l] if mode == "index_guard" else ids[w] != ids[l]
+        w, l = w[ranked], l[ranked]
+        return pa.RecordBatch.from_arrays([pa.array(ids[w]), pa.array(score[w]), pa.array(ids[l])], ["w", "score", "l"])
+
+    pairs = near_pairs(slim, None, compare, f"w {kind['id']}, score {kind['score']}, l {kind['id']}", within)
+    open_, n = ws.write_counting(pairs, f"{name}-pairs", "true")
     return boxes.join(_dropped(ws, open_, n, name), "id", "left_anti") if n else boxes
 
 
@@ -98,6 +110,10 @@ def _in_rounds(ws: Workspace, pairs: DataFrame, name: str) -> DataFrame:
     return dropped
 
 
+#: Pairs that are compared before those of joined boxes are left out.
+FIRST_PAIRS = 4096
+
+
 def dissolved(ws: Workspace, boxes: DataFrame, buffer: float, within: list[str] = (), edges: str | None = None) -> DataFrame:
     """The boxes with blob_id, the least id of all boxes that they join when each is dilated by `buffer` with round corners.
 
@@ -147,6 +163,10 @@ def dilated_area(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray,
     return total
 
 
+#: Cells of the longest box, a side.
+MOST_CELLS = 64
+
+
 def blobs(boxes: DataFrame, buffer: float, within: list[str] = (), min_area: float | None = None) -> DataFrame:
     """One row per blob of `dissolved`: its boxes' number, dilated area, bounds and greatest score.
 

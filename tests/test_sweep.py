@@ -6,6 +6,7 @@ import pytest
 
 from parcelight.operators import sweep
 from parcelight.plans import detection_queries, source_queries, vector_queries
+from parcelight.plans.domain import Domain
 
 from .conftest import DATA
 
@@ -58,3 +59,22 @@ def test_buildings_are_not_broadcast(spark, name):
     plan = RUNS[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "_cell" in line]
     assert joins == []
+
+
+def test_a_large_box_makes_no_square_of_small_ones(spark, ws):
+    """30000 small boxes in one tile beside one of 500 m: only pairs of the large one are found in its cells."""
+    import time
+
+    from parcelight.operators.suppress import nms
+
+    rows = spark.range(30_000).selectExpr("id", "'a' as tile", "2.5D * (id % 200) as x0", "2.5D * floor(id / 200) as y0", "2.5D * (id % 200) + 2 as x1", "2.5D * floor(id / 200) + 2 as y1", "0.5D as score")
+    large = spark.createDataFrame([(30_000, "a", 0.0, 0.0, 500.0, 375.0, 0.4)], rows.schema)
+    began = time.time()
+    assert nms(ws, rows.unionAll(large), 0.5, ["tile"]).count() == 30_001
+    assert time.time() - began < 20
+
+
+@pytest.mark.parametrize("distance", [0.0, 2.0])
+def test_buildings_near_masks_are_not_broadcast(spark, distance):
+    plan = vector_queries.buildings_of(Domain(spark, DATA), distance)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [_cell" not in plan and "BroadcastHashJoin [knownfloatingpointnormalized(_cell" not in plan and "_cell" not in "".join(line for line in plan.splitlines() if "Join" in line)
