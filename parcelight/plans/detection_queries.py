@@ -305,7 +305,7 @@ def pipeline_phase2(d: Domain) -> DataFrame:
     from boxes where coalesce(prompt, '') not in {NEGATIVE}""")
 def pipeline_phase3(d: Domain) -> DataFrame:
     negative = F.coalesce(F.col("prompt").isin(*NEGATIVE), F.lit(False))
-    return pipelines.phase3(d.masks.filter(~negative), d.masks.filter(negative), d.buildings, ["tile"]).select("id", "fate")
+    return pipelines.phase3(d.outlines.filter(~negative), d.outlines.filter(negative), d.buildings, ["tile"]).select("id", "fate")
 
 
 @query(_sql(_HITS.format(d=0), _where("boxes", "two", "id in (select id from hits) and area between 0.5 and 2000"), _nms_sql("two", "last", 0.5)))

@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelight.functions.boxes import Box
-from parcelight.functions import polygons
-from parcelight.operators.spatial import box_pairs
 from parcelight.operators.sweep import near_pairs, near_shapes, overlaps, rows_near, shape_overlaps
 from parcelight.operators.suppress import dissolved, nms
 from parcelight.runtime import Workspace
@@ -83,15 +81,20 @@ def phase2(ws: Workspace, df: DataFrame, buildings: DataFrame, limits: Limits, w
 
 def phase3(df: DataFrame, negatives: DataFrame, buildings: DataFrame, within: list[str], most: float = 0.3) -> DataFrame:
     """Each candidate with its fate: outside the building, overlapped by a negative by more than `most` of its area, or kept."""
-    touching = by_building(df, buildings)
-    pairs = box_pairs(touching, negatives, within, keep=Box("l_").overlap(Box("r_")) > 0)
-    if _edges(df):
-        common = polygons.overlap(F.col("l_edges"), F.col("r_edges"), F.least("l_x0", "r_x0"), F.least("l_y0", "r_y0"))
-        pairs = pairs.filter(common > most * F.col("l_area"))
-    else:
-        pairs = pairs.filter(Box("l_").overlap(Box("r_")) > most * Box("l_").area)
-    overlapped = pairs.select(F.col("l_id").alias("id")).distinct()
-    flags = df.join(touching.select("id", F.lit(True).alias("_in")), "id", "left").join(overlapped.withColumn("_neg", F.lit(True)), "id", "left")
+    slim = lambda rows: rows.select("id", *within, "x0", "y0", "x1", "y1", _area(rows).alias("area"), *([_edges(df)] if _edges(df) else []))
+    edges, kind = _edges(df), dict(df.dtypes)["id"]
+
+    def compare(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        common, area = overlaps(rows, i, j), rows.column("area").to_numpy()
+        near = (common > 0) & (common > most * area[i] * (1 - 1e-6) - 1e-6 if edges else common > most * area[i])
+        i, j = i[near], j[near]
+        if edges:
+            i = i[shape_overlaps(rows, edges, i, j) > most * area[i]]
+        return pa.RecordBatch.from_arrays([rows.column("id").take(pa.array(np.unique(i)))], ["id"])
+
+    overlapped = near_pairs(slim(df), slim(negatives), compare, f"id {kind}", within).distinct()
+    touching = near_shapes(df, buildings.withColumnRenamed("fid", "id"), 0.0, edges).select("id").distinct()
+    flags = df.join(touching.withColumn("_in", F.lit(True)), "id", "left").join(overlapped.withColumn("_neg", F.lit(True)), "id", "left")
     return flags.withColumn("fate", F.when(F.col("_in").isNull(), "outside").when(F.col("_neg"), "negative").otherwise("kept")).drop("_in", "_neg")
 
 
