@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from parcelight.functions.boxes import Box, cells
 import pandas as pd
-from parcelight.functions import polygons
-from parcelight.operators.spatial import box_pairs
 from parcelight.operators.components import components, hot_keys, roots, spread_join
 from parcelight.operators.sweep import CELL, ROWS, areas, near_pairs, overlaps, shape_overlaps, whole_groups, within_distance
 from parcelight.operators.unions import union_areas
@@ -124,11 +122,28 @@ def dissolved(ws: Workspace, boxes: DataFrame, buffer: float, within: list[str]
     if buffer <= 0:
         return boxes.withColumn("blob_id", F.col("id"))
     slim = boxes.select("id", *within, "x0", "y0", "x1", "y1", *([edges] if edges else []))
-    keep = (F.col("l_id") < F.col("r_id")) & (Box("l_").gap(Box("r_")) <= 2 * buffer)
-    pairs = box_pairs(slim, slim, within, grow=buffer, keep=keep, cell=max(8.0, 2 * buffer))
-    if edges:
-        pairs = pairs.filter(polygons.gap(F.col(f"l_{edges}"), F.col(f"r_{edges}")) <= 2 * buffer)
-    found = components(ws, pairs.select(F.col("l_id").alias("u"), F.col("r_id").alias("v")))
+
+    def compare(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        ids, group = rows.column("id").to_numpy(), np.arange(len(rows))
+        order = np.argsort(-overlaps(rows, i, j), kind="stable")  # what lies over each other most likely joins
+        i, j = i[order], j[order]
+        found, low, high = [], 0, max(FIRST_PAIRS, len(rows))
+        while low < len(i):  # pairs of boxes that others have joined aren't compared
+            a, b = i[low:high], j[low:high]
+            apart = group[a] != group[b]
+            a, b = within_distance(rows, a[apart], b[apart], 2 * buffer, edges)
+            found.append((a, b))
+            if len(a):
+                joined, root = roots(group[a], group[b])
+                above = np.arange(len(rows))
+                above[joined] = root
+                group = above[group]
+            low, high = high, high + 2 * (high - low)
+        i, j = (np.concatenate(side) for side in zip(*found)) if found else (i, j)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], ["u", "v"])
+
+    kind = dict(slim.dtypes)["id"]
+    found = components(ws, near_pairs(slim, None, compare, f"u {kind}, v {kind}", within, buffer))
     return boxes.join(found, "id", "left").withColumn("blob_id", F.coalesce("group_id", "id")).drop("group_id")
 
 

@@ -78,3 +78,24 @@ def test_a_large_box_makes_no_square_of_small_ones(spark, ws):
 def test_buildings_near_masks_are_not_broadcast(spark, distance):
     plan = vector_queries.buildings_of(Domain(spark, DATA), distance)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [_cell" not in plan and "BroadcastHashJoin [knownfloatingpointnormalized(_cell" not in plan and "_cell" not in "".join(line for line in plan.splitlines() if "Join" in line)
+
+
+def test_joined_boxes_are_not_compared_again(spark, ws, monkeypatch):
+    """Polygons over each other have a square of pairs, of which those that join the blob are enough."""
+    from parcelight.operators import suppress
+
+    compared = []
+    inner = suppress.within_distance
+    rows = spark.range(300).selectExpr("id", "1 as tile", "id / 100 as x0", "0.0D as y0", "id / 100 + 5 as x1", "5.0D as y1", "0.5D as score").repartition(1)
+    batches = []
+
+    def near_pairs(left, right, compare, schema, within, grow):
+        batches.append(compare)
+        return spark.createDataFrame([], schema)
+
+    monkeypatch.setattr(suppress, "near_pairs", near_pairs)
+    suppress.dissolved(ws, rows, 0.5, ["tile"])
+    monkeypatch.setattr(suppress, "within_distance", lambda r, i, j, *a: compared.append(len(i)) or inner(r, i, j, *a))
+    i, j = (k for k in __import__("numpy").triu_indices(300, 1))
+    out = batches[0](rows.toArrow().to_batches()[0], i, j)
+    assert sum(compared) < len(i) / 4 and {0, *out.column("v").to_pylist()} == set(range(300))
