@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelight.functions.boxes import Box, cells
-import pandas as pd
 from parcelight.operators.components import components, hot_keys, roots, spread_join
 from parcelight.operators.sweep import CELL, ROWS, areas, near_pairs, overlaps, shape_overlaps, whole_groups, within_distance
 from parcelight.operators.unions import union_areas
@@ -185,34 +184,25 @@ MOST_CELLS = 64
 def blobs(boxes: DataFrame, buffer: float, within: list[str] = (), min_area: float | None = None) -> DataFrame:
     """One row per blob of `dissolved`: its boxes' number, dilated area, bounds and greatest score.
 
-    Blobs below `min_area` are left out. A blob is one polygon, so it is made by one task.
+    Blobs below `min_area` are left out. A blob's area is summed over cells, so
+    no task gets a whole blob, and what a cell takes grows with its boxes only.
     """
 
     d = max(buffer, 0.0)
+    most = boxes.agg(F.max(F.greatest(Box().width, Box().height))).first()[0] or 0.0
+    size = max(CELL, most / MOST_CELLS)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        blob, sides = None, []
-
-        def finish() -> pd.DataFrame:
-            return pd.DataFrame({"blob_id": [blob], "area": [dilated_area(*np.concatenate(sides).T, d)]})
-
-        for b in batches:
-            ids, values = b["blob_id"].to_numpy(), b[["x0", "y0", "x1", "y1"]].to_numpy("float64")
-            bounds = np.append(np.append(0, np.flatnonzero(np.diff(ids)) + 1), len(ids)).tolist() if len(ids) else []
-            out = []
-            for start, stop in zip(bounds[:-1], bounds[1:]):
-                if ids[start] != blob:
-                    if sides:
-                        out.append(finish())
-                    blob, sides = int(ids[start]), []
-                sides.append(values[start:stop])
-            if out:
-                yield pd.concat(out, ignore_index=True)
-        if sides:
-            yield finish()
-
-    slim = boxes.select("blob_id", "x0", "y0", "x1", "y1").repartition("blob_id").sortWithinPartitions("blob_id")
-    areas = slim.mapInPandas(run, "blob_id long, area double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, ["blob_id", "cx", "cy"], ROWS):
+            blob, cx, cy, *sides = (c.to_numpy() for c in rows.columns)
+            new = np.append(True, (blob[1:] != blob[:-1]) | (cx[1:] != cx[:-1]) | (cy[1:] != cy[:-1]))
+            x, y = cx[new] * size, cy[new] * size
+            areas = union_areas(np.stack(sides, 1), np.cumsum(new) - 1, np.stack([x, y, (cx[new] + 1) * size, (cy[new] + 1) * size], 1), d)
+            yield pa.RecordBatch.from_arrays([pa.array(blob[new]), pa.array(areas)], ["blob_id", "area"])
+
+    placed = boxes.select("blob_id", F.explode(cells(Box().grown(d), size)).alias("_cell"), "x0", "y0", "x1", "y1").select("blob_id", "_cell.cx", "_cell.cy", "x0", "y0", "x1", "y1")
+    slim = placed.repartition("blob_id", "cx", "cy").sortWithinPartitions("blob_id", "cx", "cy")
+    areas = slim.mapInArrow(run, f"blob_id {dict(boxes.dtypes)['blob_id']}, area double").groupBy("blob_id").agg(F.sum("area").alias("area"))
     whole = boxes.groupBy(*within, "blob_id").agg(F.count("*").alias("n"), (F.min("x0") - d).alias("x0"), (F.min("y0") - d).alias("y0"), (F.max("x1") + d).alias("x1"), (F.max("y1") + d).alias("y1"), F.max("score").alias("score"))
-    out = whole.join(areas, "blob_id")
+    out = whole.join(areas, "blob_id", "left")
     return out.filter(F.col("area") >= min_area) if min_area is not None else out

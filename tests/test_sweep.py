@@ -99,3 +99,17 @@ def test_joined_boxes_are_not_compared_again(spark, ws, monkeypatch):
     i, j = (k for k in __import__("numpy").triu_indices(300, 1))
     out = batches[0](rows.toArrow().to_batches()[0], i, j)
     assert sum(compared) < len(i) / 4 and {0, *out.column("v").to_pylist()} == set(range(300))
+
+
+def test_a_crowded_blob_takes_no_square(spark, ws):
+    """A blob of 40000 boxes over several cells: strips over all of its boxes would take minutes."""
+    import time
+
+    from parcelight.operators.suppress import blobs, dissolved
+
+    rows = spark.range(40_000).selectExpr("id", "cast(1 as int) as tile", "1.0D * (id % 200) as x0", "1.0D * floor(id / 200) as y0", "1.0D * (id % 200) + 1.5 as x1", "1.0D * floor(id / 200) + 1.5 as y1", "0.5D as score")
+    began = time.time()
+    (row,) = blobs(dissolved(ws, rows, 0.25, ["tile"]), 0.25, ["tile"]).collect()
+    w = 200.5
+    assert (row.blob_id, row.n) == (0, 40_000) and abs(row.area - (w * w + w + 3.141592653589793 / 16)) < 1e-6
+    assert time.time() - began < 60
