@@ -53,7 +53,7 @@ def test_pairs_of_a_table_with_itself(spark, grow, within):
     assert sorted(tuple(sorted(p)) for p in got.collect()) == [(p, q) for p, q in touching(a, a, grow, bool(within)) if p < q]
 
 
-@pytest.mark.parametrize("name", ["agg_intersect_count", "pipeline_phase4", "semi_building", "pipeline_phase3"])
+@pytest.mark.parametrize("name", ["agg_intersect_count", "pipeline_phase4", "semi_building", "filter_building", "pipeline_phase3"])
 def test_buildings_are_not_broadcast(spark, name):
     """Rows spread over cells are more than the files' sizes tell, so a join of them may not be one with a broadcast side."""
     plan = RUNS[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
