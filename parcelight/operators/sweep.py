@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelight.functions.boxes import Box, cells
-from parcelight.functions.polygons import Edges, _area_kernel, _floats, _ragged, _runs, _strips, each_pair, gap_of, meets_of
+from parcelight.functions.polygons import Edges, _area_kernel, _floats, _ragged, _runs, _strips, each_pair, edges_of, gap_of, meets_of
 
 #: Side of the smallest cells. Boxes of up to SPREAD sides lie in cells of their level; a level's cells have STEP times the side of those of the one below.
 CELL, SPREAD, STEP, LEVELS = 128.0, 4, 8, 12
@@ -189,7 +189,9 @@ def shape_overlaps(rows: pa.RecordBatch, edges: str, i: np.ndarray, j: np.ndarra
 
 
 def edges_at(rows: pa.RecordBatch, edges: str, i: np.ndarray) -> Edges:
-    return Edges(rows.column(edges).take(pa.array(i)))
+    """Those of a column of edges, or of one of shapes."""
+    taken = rows.column(edges).take(pa.array(i))
+    return Edges(edges_of(taken) if pa.types.is_list(taken.type.value_type) else taken)
 
 
 def within_distance(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray, distance: float, edges: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -216,6 +218,22 @@ def near_shapes(left: DataFrame, right: DataFrame, distance: float, edges: str |
     return near_pairs(left, right, compare, f"id {kind}, other {kind}", grow=distance / 2)
 
 
+def row_pairs(left: DataFrame, right: DataFrame, distance: float, shape: str) -> DataFrame:
+    """The left rows (x0, y0, x1, y1, ...) with `other`, the id of a right row (id, x0, y0, x1, y1) at most `distance` away, by the areas inside a column of shapes.
+
+    So what is wanted of the left rows needs no join of all of them afterwards.
+    """
+    names = left.columns
+    schema = ", ".join([*(f"`{c}` {kind}" for c, kind in left.dtypes), f"other {right.select('id').dtypes[0][1]}"])
+
+    def compare(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        i, j = within_distance(rows, i, j, distance, shape)
+        own = rows.select(names).take(pa.array(i))
+        return pa.RecordBatch.from_arrays([*own.columns, rows.column("_other").take(pa.array(j))], [*names, "other"])
+
+    return near_pairs(left, right.select(F.col("id").alias("_other"), *_SIDES, shape), compare, schema, grow=distance / 2)
+
+
 def rows_near(left: DataFrame, right: DataFrame, distance: float, edges: str | None = None) -> DataFrame:
     """The left rows (id, x0, y0, x1, y1, ...) at most `distance` from a right one, each once; ids are unique."""
     schema = ", ".join(f"`{c}` {kind}" for c, kind in left.dtypes)

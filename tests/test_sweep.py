@@ -113,3 +113,34 @@ def test_a_crowded_blob_takes_no_square(spark, ws):
     w = 200.5
     assert (row.blob_id, row.n) == (0, 40_000) and abs(row.area - (w * w + w + 3.141592653589793 / 16)) < 1e-6
     assert time.time() - began < 60
+
+
+def test_shapes_come_with_the_pairs(spark, monkeypatch):
+    """The sink of buildings joins its hits with no table of all masks, which would be shuffled once more."""
+    from parcelight.sources import geojson
+
+    features = []
+    inner = geojson.documents
+    monkeypatch.setattr(geojson, "documents", lambda rows, key: features.append(rows) or inner(rows, key))
+    RUNS["sink_geojson_building"](spark, DATA)
+    plan = features[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert [line for line in plan.splitlines() if "Join" in line and "LeftSemi" not in line] == []
+
+
+def test_pairs_by_shapes_are_those_by_edges(spark):
+    """Parts and holes too: a footprint in the middle of a hole of 8 m is 3.5 m from the area, and touches a second part."""
+    from pyspark.sql import functions as F
+
+    from parcelight.functions import polygons
+
+    ring = lambda x, y, w: "(" + ", ".join(f"{a} {b}" for a, b in ((x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y))) + ")"
+    texts = [(1, f"POLYGON ({ring(0, 0, 20)}, {ring(6, 6, 8)})"), (2, f"MULTIPOLYGON (({ring(0, 0, 2)}), ({ring(9, 9, 2)}))"), (3, f"POLYGON ({ring(300, 0, 2)})")]
+    cut = spark.createDataFrame(texts, "id long, t string").withColumn("shape", polygons.polygons(F.col("t"))).withColumn("edges", polygons.edges(F.col("shape")))
+    box = polygons.bounds(F.col("edges"))
+    left = cut.select("id", "shape", "edges", *box.columns())
+    right = spark.createDataFrame([(7, f"POLYGON ({ring(9.5, 9.5, 1)})"), (8, f"POLYGON ({ring(303, 0, 1)})")], "id long, t string").withColumn("shape", polygons.polygons(F.col("t"))).withColumn("edges", polygons.edges(F.col("shape")))
+    right = right.select("id", "shape", "edges", *box.columns())
+    for distance, pairs in ((2.0, [(2, 7), (3, 8)]), (4.0, [(1, 7), (2, 7), (3, 8)])):
+        got = sweep.row_pairs(left.drop("edges"), right, distance, "shape").collect()
+        assert sorted((r.id, r.other) for r in got) == sorted(map(tuple, sweep.near_shapes(left, right, distance, "edges").collect())) == pairs
+        assert {r.id: r.shape for r in got} == {r.id: r.shape for r in left.collect() if r.id in {r.id for r in got}}
