@@ -154,8 +154,8 @@ def near_pairs(left: DataFrame, right: DataFrame | None, compare: Compare, schem
         for whole in whole_groups(batches, [*within, *key], ROWS):
             for i, j in _found(whole, k, grow):
                 out = compare(whole, i, j)
-                if len(out):
-                    yield out
+                for start in range(0, len(out), ROWS):
+                    yield out.slice(start, ROWS)
 
     return order.mapInArrow(run, schema)
 
@@ -189,9 +189,12 @@ def shape_overlaps(rows: pa.RecordBatch, edges: str, i: np.ndarray, j: np.ndarra
 
 
 def edges_at(rows: pa.RecordBatch, edges: str, i: np.ndarray) -> Edges:
-    """Those of a column of edges, or of one of shapes."""
-    taken = rows.column(edges).take(pa.array(i))
-    return Edges(edges_of(taken) if pa.types.is_list(taken.type.value_type) else taken)
+    """Those of a column of edges, or of one of shapes, of which each that is asked for is turned into edges once."""
+    column = rows.column(edges)
+    if pa.types.is_list(column.type.value_type):
+        own, i = np.unique(i, return_inverse=True)
+        column = edges_of(column.take(pa.array(own)))
+    return Edges(column.take(pa.array(i)))
 
 
 def within_distance(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray, distance: float, edges: str | None) -> tuple[np.ndarray, np.ndarray]:

@@ -144,3 +144,13 @@ def test_pairs_by_shapes_are_those_by_edges(spark):
         got = sweep.row_pairs(left.drop("edges"), right, distance, "shape").collect()
         assert sorted((r.id, r.other) for r in got) == sorted(map(tuple, sweep.near_shapes(left, right, distance, "edges").collect())) == pairs
         assert {r.id: r.shape for r in got} == {r.id: r.shape for r in left.collect() if r.id in {r.id for r in got}}
+
+
+def test_found_rows_come_in_small_batches(spark, monkeypatch):
+    """A crowded cell gives many whole rows at once, which the JVM would get as one batch."""
+    rows = spark.range(60).selectExpr("id", "0.0D as x0", "0.0D as y0", "1.0D as x1", "1.0D as y1")
+    monkeypatch.setattr(sweep, "ROWS", 100)
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda df, run, schema: (run, df.toArrow().combine_chunks().to_batches()))
+    run, batches = sweep.near_pairs(rows, rows, ids, "i long, j long")
+    sizes = [len(b) for b in run(iter(batches))]
+    assert sum(sizes) == 3600 and max(sizes) <= 100
